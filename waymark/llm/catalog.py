@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from waymark.llm import exact_dedup
+from waymark.llm import exact_dedup, packing
 
 QUERIES = {
+    "op4_packing": packing.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
