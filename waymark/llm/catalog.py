@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from waymark.llm import exact_dedup, packing
+from waymark.llm import exact_dedup, packing, simhash
 
 QUERIES = {
+    "op2_simhash": simhash.query,
     "op4_packing": packing.query,
     "op10_exact_dedup": exact_dedup.query,
 }

@@ -29,3 +29,32 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+#: Bits of a bitmap: 2**26 bits are 8 MiB, the most that is ever broadcast.
+BITS = 1 << 26
+
+
+def slot(*parts: Column, bits: int = BITS) -> Column:
+    """Where a key has its bit; from 1, as the bitmap functions count."""
+    return F.pmod(F.xxhash64(*parts), F.lit(bits)) + 1
+
+
+def bitmap(slots: DataFrame) -> DataFrame:
+    """Buckets (b, map) with the bits of all values of column s set. Of a fixed size at most, whatever the rows."""
+    return slots.groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("map"))
+
+
+def marked(rows: DataFrame, bits_set: DataFrame, at: Column) -> DataFrame:
+    """Adds __wm_may: whether the bit at `at` is set, so that the key may be one of those in the bitmap. No shuffle."""
+    named = bits_set.select(F.col("b").alias("__wm_b"), F.col("map").alias("__wm_map"))
+    joined = rows.withColumn("__wm_slot", at).join(F.broadcast(named), F.bitmap_bucket_number("__wm_slot") == F.col("__wm_b"), "left")
+    place = F.bitmap_bit_position("__wm_slot")
+    byte = F.conv(F.hex(F.substring("__wm_map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(__wm_byte, cast(bitmap_bit_position(__wm_slot) % 8 as int)) & 1")
+    return joined.withColumn("__wm_byte", byte).withColumn("__wm_may", F.coalesce(bit == 1, F.lit(False))).drop("__wm_slot", "__wm_b", "__wm_map", "__wm_byte")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns by exact name, dots included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

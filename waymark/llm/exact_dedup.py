@@ -15,37 +15,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import documents
+from waymark.llm.common import BITS, bitmap, columns_of, documents, marked, slot
 
-#: Bits of the bitmap: 2**26 bits are 8 MiB, the most that is ever broadcast.
-BITS = 1 << 26
 PREFIX_CHARS = 64
 
 
-def _slot(text: Column, prefix_chars: int, bits: int) -> Column:
-    """Where the (length, prefix hash) group of a text has its bit; from 1, as the bitmap functions count."""
-    return F.pmod(F.xxhash64(F.octet_length(text), F.substring(text, 1, prefix_chars)), F.lit(bits)) + 1
+def _group_slot(text: Column, prefix_chars: int, bits: int) -> Column:
+    return slot(F.octet_length(text), F.substring(text, 1, prefix_chars), bits=bits)
 
 
 def candidate_bitmap(texts: DataFrame, prefix_chars: int = PREFIX_CHARS, bits: int = BITS) -> DataFrame:
-    """Buckets (b, map) of the bitmap of all (length, prefix hash) groups with two rows or more; `texts` has column t."""
+    """The bitmap of all (length, prefix hash) groups with two rows or more; `texts` has column t."""
     groups = (
         texts.groupBy(F.octet_length("t").alias("n"), F.xxhash64(F.substring("t", 1, prefix_chars)).alias("p"))
-        .agg(F.count(F.lit(1)).alias("c"), F.first(_slot(F.col("t"), prefix_chars, bits)).alias("s"))
+        .agg(F.count(F.lit(1)).alias("c"), F.first(_group_slot(F.col("t"), prefix_chars, bits)).alias("s"))
         .filter("c > 1")
     )
-    return groups.groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("map"))
-
-
-def _marked(rows: DataFrame, bitmap: DataFrame, text: Column, prefix_chars: int, bits: int) -> DataFrame:
-    """Adds __wm_may: whether another text can be equal to this one."""
-    slot = rows.withColumn("__wm_slot", _slot(text, prefix_chars, bits))
-    named = bitmap.select(F.col("b").alias("__wm_b"), F.col("map").alias("__wm_map"))
-    at = F.bitmap_bit_position("__wm_slot")
-    byte = F.conv(F.hex(F.substring("__wm_map", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(__wm_byte, cast(bitmap_bit_position(__wm_slot) % 8 as int)) & 1")
-    joined = slot.join(F.broadcast(named), F.bitmap_bucket_number("__wm_slot") == F.col("__wm_b"), "left")
-    return joined.withColumn("__wm_byte", byte).withColumn("__wm_may", F.coalesce(bit == 1, F.lit(False))).drop("__wm_slot", "__wm_b", "__wm_map", "__wm_byte")
+    return bitmap(groups)
 
 
 def duplicate_groups(
@@ -58,9 +44,9 @@ def duplicate_groups(
     apart by their place.
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    marked = _marked(rows, candidate_bitmap(rows, prefix_chars, bits), F.col("t"), prefix_chars, bits)
+    may = marked(rows, candidate_bitmap(rows, prefix_chars, bits), _group_slot(F.col("t"), prefix_chars, bits))
     full = F.sha2("t", 256)
-    hashed = marked.select(
+    hashed = may.select(
         "id",
         F.monotonically_increasing_id().alias("place"),
         F.col("__wm_may").alias("may"),
@@ -83,11 +69,11 @@ def drop_exact_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_
     """The rows that stay, with all their columns. Rows that can have no copy aren't shuffled; of the others one row a
     text is kept by an aggregate that combines before the shuffle, so a group of any size costs a row for each task."""
     body = F.coalesce(F.col(text), F.lit(""))
-    marked = _marked(df, candidate_bitmap(df.select(body.alias("t")), prefix_chars, bits), body, prefix_chars, bits)
-    alone = marked.filter(~F.col("__wm_may")).drop("__wm_may")
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rank = F.struct(F.col(id_col).isNotNull(), F.col(id_col), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    one = marked.filter("__wm_may").groupBy(F.sha2(body, 256).alias("__wm_key")).agg(F.max_by(whole, rank).alias("__wm_row"))
+    may = marked(df, candidate_bitmap(df.select(body.alias("t")), prefix_chars, bits), _group_slot(body, prefix_chars, bits))
+    alone = may.filter(~F.col("__wm_may")).drop("__wm_may")
+    whole = F.struct(*columns_of(df))
+    rank = F.struct(F.col(id_col).isNotNull(), F.col(id_col), F.xxhash64(*columns_of(df)))
+    one = may.filter("__wm_may").groupBy(F.sha2(body, 256).alias("__wm_key")).agg(F.max_by(whole, rank).alias("__wm_row"))
     return alone.unionByName(one.select("__wm_row.*"))
 
 
