@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from waymark.llm import exact_dedup, langid, packing, simhash
+from waymark.llm import ctw, exact_dedup, langid, packing, simhash
 
 QUERIES = {
     "op2_simhash": simhash.query,
     "op4_packing": packing.query,
     "op7_langid": langid.query,
+    "op9_ctw": ctw.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
