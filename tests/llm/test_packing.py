@@ -4,12 +4,15 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from waymark.llm.packing import SumOfSquares, pack, tokenize
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-TEXTS = ["", None, "Hello, World's  it'll\nbe\t fine 123", "É́à ΣΑΣ x y <|endoftext|> z", "a\x1cb\x85c", "word " * 5000, "x" * 3000, "the the", "the the"]
+WHOLE = Tokenizer.from_file(PATH)
+TEXTS = ["", None, "Hello, World's  it'll\nbe\t fine 123", "É́à ΣΑΣ x y <|endoftext|> z", "a\x1cb\x85c", "don't!'s ''re '<< I'LL x²½ ªº İI ß_a-b 12a3", "word " * 5000, "x" * 3000, "the the", "the the"]
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -18,6 +21,12 @@ def test_chunks_give_the_tokenizers_ids(text):
     assert tokenize(text, PATH).tolist() == expected
 
 
+@given(st.text(alphabet="aB's'trem²½ªİßé́Σ<|_-1 \n\x1c\x85\u2003中", max_size=30))
+@settings(max_examples=300, deadline=None)
+def test_any_text_gives_the_tokenizers_ids(text):
+    assert tokenize(text, PATH).tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
 def brute_level(counts, size, window):
     """The level that leaves the least sum of squares, by trying all."""
     best = None

@@ -17,11 +17,13 @@ many whole windows. Null ids stay null. An empty table gives an empty result. On
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,27 +31,74 @@ from waymark.llm.common import documents
 
 WINDOW = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: The ids of so many different chunks are remembered by a worker (about 200 bytes each).
-REMEMBERED = 600_000
-_GAP = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
+#: The ids of so many chunks, and of so many words, are remembered by a worker (about 200 bytes each).
+CHUNKS, WORDS = 400_000, 1_200_000
+#: Fixed value: the tokenizer's own pattern for words.
+_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
-class _Chunks(dict):
-    """Ids of a chunk of text without white space, as bytes of unsigned 32-bit numbers; forgets all when full."""
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in the vocabulary: itself if printable in Latin-1, else the next above 255."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in own)}
+    return [other.get(b, chr(b)) for b in range(256)]
+
+
+class _Memory(dict):
+    """Remembers the first so many short keys, frequent ones being among them; starts anew when too often of no help."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.missed = most, 0
+
+    def remember(self, key: str, value: bytes) -> None:
+        if len(self) >= self.most:
+            self.missed += 1
+            if self.missed < 8 * self.most:
+                return
+            self.clear()
+            self.missed = 0
+        if len(key) <= 64:
+            self[key] = value
+
+
+class _Words(_Memory):
+    """Ids of a word (one match of the pattern) as bytes of unsigned 32-bit numbers."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__(WORDS)
+        self.model, self.letters = tokenizer.model, _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        spelled = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
+        found = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        self.remember(word, found)
+        return found
+
+
+class _Chunks(_Memory):
+    """The same for chunks without white space, by way of their words.
+
+    Below U+0300 there is nothing to compose and lower-casing looks at one character only, so that a chunk's ids are
+    its lower-case words' ids; other chunks, and those that may hold a special token, are given to the tokenizer whole."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__({"": b""})
+        super().__init__(CHUNKS)
+        self[""] = b""
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = _Words(self.tokenizer)
 
     def __missing__(self, chunk: str) -> bytes:
-        found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-                self[""] = b""
-            self[chunk] = found
+        if not chunk:
+            return b""
+        plain = max(chunk) < "\u0300" and "<" not in chunk
+        if plain:
+            found = b"".join(map(self.words.__getitem__, _WORD.findall(chunk.lower())))
+        else:
+            found = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        self.remember(chunk, found)
         return found
 
 
@@ -62,7 +111,7 @@ def tokenize(text: str | None, path: str) -> np.ndarray:
     """The tokenizer's ids. Its pattern never matches across white space, so chunks can be looked up one by one."""
     if not text:
         return np.empty(0, "<u4")
-    return np.frombuffer(b"".join(map(_chunks(path).__getitem__, text.translate(_GAP).split(" "))), "<u4")
+    return np.frombuffer(b"".join(map(_chunks(path).__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))), "<u4")
 
 
 class SumOfSquares:
