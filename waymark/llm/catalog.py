@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from waymark.llm import ctw, exact_dedup, langid, packing, simhash
+from waymark.llm import ctw, exact_dedup, langid, packing, secrets, simhash
 
 QUERIES = {
     "op2_simhash": simhash.query,
     "op4_packing": packing.query,
+    "op5_secrets": secrets.query,
     "op7_langid": langid.query,
     "op9_ctw": ctw.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
 SQL = {
+    "op5_secrets": secrets.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
