@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from waymark.llm import ctw, exact_dedup, langid, packing, secrets, simhash
+from waymark.llm import ctw, exact_dedup, langid, licenses, packing, secrets, simhash
 
 QUERIES = {
     "op2_simhash": simhash.query,
     "op4_packing": packing.query,
     "op5_secrets": secrets.query,
     "op7_langid": langid.query,
+    "op8_licenses": licenses.query,
     "op9_ctw": ctw.query,
     "op10_exact_dedup": exact_dedup.query,
 }
