@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from waymark.llm import ctw, exact_dedup, langid, licenses, packing, secrets, simhash
+from waymark.llm import ctw, exact_dedup, langid, licenses, mixing, packing, secrets, simhash
 
 QUERIES = {
     "op2_simhash": simhash.query,
     "op4_packing": packing.query,
     "op5_secrets": secrets.query,
+    "op6_mixing": mixing.query,
     "op7_langid": langid.query,
     "op8_licenses": licenses.query,
     "op9_ctw": ctw.query,
@@ -16,5 +17,6 @@ QUERIES = {
 
 SQL = {
     "op5_secrets": secrets.SQL,
+    "op6_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
