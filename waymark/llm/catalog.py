@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from waymark.llm import ctw, exact_dedup, langid, licenses, mixing, packing, secrets, simhash
+from waymark.llm import ctw, exact_dedup, langid, licenses, media, mixing, packing, secrets, simhash
 
 QUERIES = {
     "op2_simhash": simhash.query,
+    "op3_media": media.query,
     "op4_packing": packing.query,
     "op5_secrets": secrets.query,
     "op6_mixing": mixing.query,
