@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from waymark.llm import ctw, exact_dedup, langid, licenses, media, mixing, packing, secrets, simhash
+from waymark.llm import ctw, exact_dedup, langid, licenses, media, mixing, packing, quality, secrets, simhash
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op2_simhash": simhash.query,
     "op3_media": media.query,
     "op4_packing": packing.query,
