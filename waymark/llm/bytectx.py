@@ -73,3 +73,26 @@ def totals(texts: list[bytes], contexts: Contexts, table: np.ndarray, tail: byte
         sums = np.add.reduceat(values, bounds, axis=0, dtype=np.float64)[::2]
         np.add.at(out, [s[0] for s in spans], sums)
     return out
+
+
+def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes with their counts added up."""
+    if not codes:
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    found, at = np.unique(np.concatenate(codes), return_inverse=True)
+    return found, np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
+
+
+def grams(texts: list[bytes], tail: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (three bytes before, byte) as 32-bit codes, and their counts. Blocks are reduced one by one."""
+    codes, counts, held = [], [], 0
+    for data, spans in blocks(texts, tail):
+        code = data[:-3].astype(np.uint32) << 24 | data[1:-2].astype(np.uint32) << 16 | data[2:-1].astype(np.uint32) << 8 | data[3:]
+        some, n = np.unique(code[inside(spans, len(code))], return_counts=True)
+        codes.append(some)
+        counts.append(n)
+        held += len(some)
+        if held > BLOCK:
+            some, n = merged(codes, counts)
+            codes, counts, held = [some], [n], 0
+    return merged(codes, counts)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.bytectx import Contexts, blocks, inside, totals
+from waymark.llm.bytectx import Contexts, grams, totals
 from waymark.llm.common import documents
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -41,15 +41,6 @@ class Model:
     costs: np.ndarray  # bits by (state * 256 + byte, language)
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (three bytes before, byte) as 32-bit codes, and their counts."""
-    found = []
-    for data, spans in blocks(texts):
-        code = data[:-3].astype(np.uint32) << 24 | data[1:-2].astype(np.uint32) << 16 | data[2:-1].astype(np.uint32) << 8 | data[3:]
-        found.append(code[inside(spans, len(code))])
-    return np.unique(np.concatenate(found or [np.empty(0, np.uint32)]), return_counts=True)
-
-
 def _tally(codes: np.ndarray, counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """counts by (context, byte) for the sorted contexts in `rows`."""
     out = np.zeros((len(rows), 256))
