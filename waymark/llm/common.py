@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +32,20 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """Of a function on batches: gives memory back to the system when a task ends, as workers live on and share a machine."""
+
+    @wraps(run)
+    def tidied(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return tidied
 
 
 #: Bits of a bitmap: 2**26 bits are 8 MiB, the most that is ever broadcast.
@@ -55,6 +72,15 @@ def marked(rows: DataFrame, bits_set: DataFrame, at: Column) -> DataFrame:
     return joined.withColumn("__wm_byte", byte).withColumn("__wm_may", F.coalesce(bit == 1, F.lit(False))).drop("__wm_slot", "__wm_b", "__wm_map", "__wm_byte")
 
 
+#: Rows of a stored table up to which it is broadcast (a few hundred bytes each).
+FEW = 50_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A stored table with the hint to broadcast it if it has few rows, else as it is, for a join that shuffles."""
+    return F.broadcast(table) if table.limit(FEW + 1).count() <= FEW else table
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """All columns by exact name, dots included."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

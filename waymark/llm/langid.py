@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.bytectx import Contexts, grams, totals
-from waymark.llm.common import documents
+from waymark.llm.common import documents, tidy
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -143,18 +143,23 @@ def identify(df: DataFrame, model: Model, text: str = "text", id_col: str = "doc
             name, share, bits = score(sent.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(name, pa.string()), pa.array(share), pa.array(bits)], names=["id", "lang_pred", "score", "bits_per_byte"])
 
-    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").mapInArrow(run, "id long, lang_pred string, score double, bits_per_byte double")
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").mapInArrow(tidy(run), "id long, lang_pred string, score double, bits_per_byte double")
 
 
 def drop_unidentified(df: DataFrame, model: Model, text: str = "text", min_score: float = 0.5, max_bits: float = 6.5) -> DataFrame:
     """The rows whose text is in one of the model's languages: not `und`, no weak score, and not coded so badly that it is none of them."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
-        name, share, bits = score(sent.value, [None if pd.isna(t) else t for t in texts])
-        return pd.Series([n != "und" and s >= min_score and b <= max_bits for n, s, b in zip(name, share, bits, strict=True)], dtype=bool)
+    @tidy
+    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = score(sent.value, [None if pd.isna(t) else t for t in texts])
+            yield pd.Series([n != "und" and s >= min_score and b <= max_bits for n, s, b in zip(*found, strict=True)], dtype=bool)
 
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return judged(batches)
+
+    known = F.pandas_udf(known, "boolean")
     return df.filter(known(F.col(text)))
 
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import columns_of, documents, stored
+from waymark.llm.common import columns_of, documents, small, stored
 
 ENTROPY, MAX_REPEATS, BLOCK_TOKENS, PER_RANGE, SEED, STEPS = 0.97, 2.0, 65536, 2000, 17, 50
 
@@ -103,10 +103,10 @@ def blocks(df: DataFrame, text: str = "text", source: str = "source", id_col: st
 
     before: tokens of its source before it, over all passes."""
     rows = stored(_rows(df, text, source, id_col), "tokens")
-    plan = stored(_plan(rows, per_range, **how), "weights")
+    plan = _plan(rows, per_range, **how)
     size = F.greatest(F.ceil(F.sum("quota").over(Window.partitionBy()) / block_tokens), F.lit(1))
-    plan = plan.withColumn("blocks", size)
-    taken = rows.join(plan, "skey").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full"))))
+    plan = stored(plan.withColumn("blocks", size), "weights")
+    taken = rows.join(small(plan), "skey").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full"))))
     taken = taken.filter("pass < full or rest > 0").withColumn("hash", _hash(F.col("pass"), F.col("id"))).withColumn("range", _range(F.col("hash"), F.col("ranges")))
     sums = taken.groupBy("skey", "pass", "range").agg(F.sum("n").alias("sum"))
     ahead = Window.partitionBy("skey", "pass").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,10 +129,10 @@ def blocks(df: DataFrame, text: str = "text", source: str = "source", id_col: st
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", per_range: int = PER_RANGE, **how) -> DataFrame:
     """The documents, each as often as it is taken, with all columns. Sources' cut hashes are found on small rows; the
-    texts are neither shuffled nor sorted for it, unless the table of sources is too large to broadcast."""
+    texts are neither shuffled nor sorted for it, unless there are more sources than are broadcast (`FEW`)."""
     rows = stored(_rows(df, text, source, id_col), "tokens")
     plan = stored(_plan(rows, per_range, **how), "weights")
-    last = rows.join(plan.filter("rest > 0"), "skey").withColumn("hash", _hash(F.col("full"), F.col("id"))).withColumn("range", _range(F.col("hash"), F.col("ranges")))
+    last = rows.join(small(plan).filter("rest > 0"), "skey").withColumn("hash", _hash(F.col("full"), F.col("id"))).withColumn("range", _range(F.col("hash"), F.col("ranges")))
     sums = last.groupBy("skey", "range").agg(F.sum("n").alias("sum"))
     ahead = Window.partitionBy("skey").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     start = sums.withColumn("start", F.coalesce(F.sum("sum").over(ahead), F.lit(0)))
@@ -140,9 +140,9 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str =
     inside = Window.partitionBy("skey").orderBy("hash", "n").rowsBetween(Window.unboundedPreceding, -1)
     at_edge = last.join(edge, ["skey", "range"]).withColumn("at", F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     cuts = at_edge.filter("at < rest").groupBy("skey").agg(F.max("hash").alias("cut"))
-    per_source = plan.select("skey", "full").join(cuts, "skey", "left").select(F.col("skey").alias("__wm_key"), F.col("full").alias("__wm_full"), F.col("cut").alias("__wm_cut"))
+    per_source = stored(plan.select("skey", "full").join(cuts, "skey", "left").select(F.col("skey").alias("__wm_key"), F.col("full").alias("__wm_full"), F.col("cut").alias("__wm_cut")), "cuts")
     key = F.to_json(F.struct(F.col(source).alias("s")))
-    joined = df.withColumn("__wm_source", key).join(per_source, F.col("__wm_source") == F.col("__wm_key"))
+    joined = df.withColumn("__wm_source", key).join(small(per_source), F.col("__wm_source") == F.col("__wm_key"))
     extra = F.when(_hash(F.col("__wm_full"), F.col(id_col)) <= F.col("__wm_cut"), 1).otherwise(0)
     times = joined.withColumn("__wm_times", (F.col("__wm_full") + extra).cast("int")).filter("__wm_times > 0")
     return times.withColumn("__wm_copy", F.explode(F.array_repeat(F.lit(1), F.col("__wm_times")))).select(*columns_of(df))

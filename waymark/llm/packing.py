@@ -27,12 +27,12 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm.common import documents
+from waymark.llm.common import documents, tidy
 
 WINDOW = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: The ids of so many chunks, and of so many words, are remembered by a worker (about 200 bytes each).
-CHUNKS, WORDS = 400_000, 1_200_000
+#: The ids of so many chunks, and of so many words, are remembered by a worker (about 200 bytes each); longer ones seldom recur.
+CHUNKS, WORDS, SHORT = 250_000, 400_000, 12
 #: Fixed value: the tokenizer's own pattern for words.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -52,14 +52,15 @@ class _Memory(dict):
         self.most, self.missed = most, 0
 
     def remember(self, key: str, value: bytes) -> None:
+        if len(key) > SHORT:
+            return
         if len(self) >= self.most:
             self.missed += 1
             if self.missed < 8 * self.most:
                 return
             self.clear()
             self.missed = 0
-        if len(key) <= 64:
-            self[key] = value
+        self[key] = value
 
 
 class _Words(_Memory):
@@ -221,7 +222,7 @@ def pack(df: DataFrame, text: str = "text", id_col: str = "doc_id", path: str |
         if rows := rows + packer.settle(last=True):
             yield out(rows)
 
-    return df.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text}` text").mapInArrow(run, SCHEMA)
+    return df.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text}` text").mapInArrow(tidy(run), SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
