@@ -7,7 +7,7 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The ellipsoid's half axis and squared eccentricity; a 95 % ellipse's axis in standard deviations.
@@ -157,30 +157,43 @@ def _over(v: Vector, by: Column) -> Vector:
     return Vector(v.x / by, v.y / by, v.z / by)
 
 
-def horizontal_basis(a: Vector, b: Vector) -> tuple[Vector, Vector]:
+def staged(df: DataFrame, name: str, v: Vector) -> tuple[DataFrame, Vector]:
+    """The vector as columns of the frame, so that what uses it several times doesn't repeat how it is made."""
+    names = [f"__wm_{name}_{n}" for n in "xyz"]
+    return df.withColumns(dict(zip(names, v, strict=True))), Vector(*[F.col(n) for n in names])
+
+
+def with_horizontal_basis(df: DataFrame, a: Vector, b: Vector) -> tuple[DataFrame, Vector, Vector]:
     """Two unit vectors across the radius of the midpoint; the x and y axes next to the earth's centre."""
-    middle = Vector((a.x + b.x) / 2, (a.y + b.y) / 2, (a.z + b.z) / 2)
-    r = length(middle)
-    safe = F.when(r < 1, F.lit(1.0)).otherwise(r)
-    up = _over(middle, safe)
+    df, middle = staged(df, "m", Vector((a.x + b.x) / 2, (a.y + b.y) / 2, (a.z + b.z) / 2))
+    df = df.withColumn("__wm_r", length(middle))
+    r = F.col("__wm_r")
+    df, up = staged(df, "u", _over(middle, F.when(r < 1, F.lit(1.0)).otherwise(r)))
     polar = F.abs(up.z) > 0.9
-    seed = Vector(F.when(polar, 1.0).otherwise(0.0), F.lit(0.0), F.when(polar, 0.0).otherwise(1.0))
-    e = _cross(up, seed)
-    e = _over(e, F.when(r < 1, F.lit(1.0)).otherwise(length(e)))
-    n = _cross(up, e)
-    pick = lambda v, axis: Vector(*[F.when(r < 1, float(k == axis)).otherwise(v[k]) for k in range(3)])
-    return pick(e, 0), pick(n, 1)
+    df, seed = staged(df, "s", Vector(F.when(polar, 1.0).otherwise(0.0), F.lit(0.0), F.when(polar, 0.0).otherwise(1.0)))
+    df, e = staged(df, "e", _cross(up, seed))
+    df, e = staged(df, "f", _over(e, F.when(r < 1, F.lit(1.0)).otherwise(length(e))))
+    df, n = staged(df, "n", _cross(up, e))
+
+    def pick(v: Vector, axis: int) -> Vector:
+        return Vector(*[F.when(r < 1, float(k == axis)).otherwise(v[k]) for k in range(3)])
+
+    df, e = staged(df, "g", pick(e, 0))
+    df, n = staged(df, "h", pick(n, 1))
+    return df, e, n
 
 
-def mahalanobis(a: Vector, b: Vector, c: Covariance, floor: Column | float = 0.0) -> Column:
-    """Horizontal distance in standard deviations for the sum of both covariances, each widened by the noise floor. Where
+def with_mahalanobis(df: DataFrame, name: str, a: Vector, b: Vector, c: Covariance, floor: Column | float = 0.0) -> DataFrame:
+    """Adds the horizontal distance in standard deviations for the sum c of both covariances, each widened by the noise floor. Where
     there is no covariance, or it is singular: the distance over sqrt(2) times the floor, or over 100 m without a floor."""
-    floor = F.lit(floor) if isinstance(floor, (int, float)) else floor
-    e, n = horizontal_basis(a, b)
-    d = minus(a, b)
-    p, q = dot(e, d), dot(n, d)
+    floor = F.lit(float(floor)) if isinstance(floor, (int, float)) else floor
+    kept = df.columns
+    df, e, n = with_horizontal_basis(df, a, b)
+    df, d = staged(df, "d", minus(a, b))
     wide = 2 * floor * floor
-    ee, en, nn = _quadratic(e, e, c) + wide, _quadratic(e, n, c), _quadratic(n, n, c) + wide
+    df = df.withColumns({"__wm_p": dot(e, d), "__wm_q": dot(n, d), "__wm_ee": _quadratic(e, e, c) + wide, "__wm_en": _quadratic(e, n, c), "__wm_nn": _quadratic(n, n, c) + wide})
+    p, q, ee, en, nn = (F.col(f"__wm_{x}") for x in ("p", "q", "ee", "en", "nn"))
     det = ee * nn - en * en
     plain = F.sqrt(p * p + q * q) / F.when(floor > 0, math.sqrt(2) * floor).otherwise(100.0)
-    return F.coalesce(F.when(F.abs(det) > 0, F.sqrt((nn * p * p - 2 * en * p * q + ee * q * q) / det)), plain)
+    sigma = F.coalesce(F.when(F.abs(det) > 0, F.sqrt((nn * p * p - 2 * en * p * q + ee * q * q) / det)), plain)
+    return df.select(*[F.col("`" + k + "`") for k in kept], sigma.alias(name))

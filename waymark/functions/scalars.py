@@ -34,6 +34,11 @@ def _whole(number: Column) -> Column:
     return (F.abs(number) < 1e37) & (number % 1 == 0)
 
 
+def _digits(number: Column) -> Column:
+    """A whole number's digits; exact below 9e18."""
+    return F.when(F.abs(number) < 9e18, number.cast("long").cast("string")).otherwise(number.cast("decimal(38,0)").cast("string"))
+
+
 def id_text(value: Column, kind: str) -> Column:
     """An identifier as text: 123, 123.0 and '123.0' are one; null, lists, structs and what isn't finite are blank.
 
@@ -42,12 +47,12 @@ def id_text(value: Column, kind: str) -> Column:
         return F.lit("")
     if kind in ("double", "float"):
         number = finite(value)
-        text = F.when(_whole(number), number.cast("decimal(38,0)").cast("string")).otherwise(number.cast("string"))
+        text = F.when(_whole(number), _digits(number)).otherwise(number.cast("string"))
     elif kind == "boolean":
         text = F.initcap(value.cast("string"))
     elif kind == "string":
         number = finite(value.try_cast("double"))
-        text = F.when(F.contains(value, F.lit(".")) & _whole(number), number.cast("decimal(38,0)").cast("string")).otherwise(value)
+        text = F.when(F.contains(value, F.lit(".")) & _whole(number), _digits(number)).otherwise(value)
     else:
         text = value.cast("string")
     return F.coalesce(text, F.lit(""))
@@ -111,6 +116,11 @@ def exact_long(value: Column, name: str = "value") -> Column:
     )
 
 
+def seconds(at: Column) -> Column:
+    """A time, with or without a zone, as seconds since the epoch."""
+    return at.cast("timestamp").cast("double")
+
+
 def iso_millis(at: Column) -> Column:
     """A timestamp as ISO-8601 text in UTC with milliseconds and Z."""
     return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -158,7 +168,7 @@ def not_negative(value: Column) -> Column:
 def label_list(value: Column, kind: str) -> Column:
     """A list, or text with commas, as its parts that aren't blank, joined by commas; null if there are none."""
     parts = value.cast("array<string>") if kind.startswith("array") else F.split(value.cast("string"), ",")
-    return not_blank(F.array_join(F.filter(F.transform(parts, F.trim), lambda x: x != ""), ","))
+    return not_blank(F.array_join(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""), ","))
 
 
 #: Conversions that a feed's configuration can name; null passes through all of them.

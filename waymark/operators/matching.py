@@ -81,41 +81,45 @@ def with_ecef(df: DataFrame) -> DataFrame:
     """Rows with a time and a finite position, with earth-fixed position, velocity and covariance; missing altitude and down speed are 0."""
     if not {TIME, POSITION + "latitude", POSITION + "longitude"} <= set(df.columns):
         return df.filter("false")
-
-    def number(name: str, default: float | None = None) -> Column:
+    # numbers as columns of their own, as each is used many times
+    defaults = {POSITION + "latitude": None, POSITION + "longitude": None, POSITION + "altitude": 0.0, VELOCITY + "eastSpeed": None, VELOCITY + "northSpeed": None, VELOCITY + "downSpeed": 0.0, ELLIPSE + "semiMajorAxisLength": 1000.0, ELLIPSE + "semiMinorAxisLength": 1000.0, ELLIPSE + "orientation": 0.0}
+    numbers = {}
+    for name, default in defaults.items():
         value = finite(field(name).try_cast("double")) if name in df.columns else F.lit(None).cast("double")
-        return value if default is None else F.coalesce(value, F.lit(default))
-
-    latitude, longitude, altitude = number(POSITION + "latitude"), number(POSITION + "longitude"), number(POSITION + "altitude", 0.0)
+        numbers[f"__wm_{name}"] = value if default is None else F.coalesce(value, F.lit(default))
+    rows = df.withColumns(numbers)
+    number = {name: field(f"__wm_{name}") for name in defaults}
+    latitude, longitude, altitude = (number[POSITION + n] for n in ("latitude", "longitude", "altitude"))
+    rows = rows.filter(field(TIME).isNotNull() & latitude.isNotNull() & longitude.isNotNull())
     out = {POSITION + "altitude": altitude}
     out |= {f"ecefPosition.{n}": c for n, c in zip("xyz", geo.to_ecef(latitude, longitude, altitude), strict=True)}
     if {VELOCITY + "eastSpeed", VELOCITY + "northSpeed"} <= set(df.columns):
-        v = geo.enu_to_ecef(latitude, longitude, geo.Vector(number(VELOCITY + "eastSpeed"), number(VELOCITY + "northSpeed"), -number(VELOCITY + "downSpeed", 0.0)))
+        v = geo.enu_to_ecef(latitude, longitude, geo.Vector(number[VELOCITY + "eastSpeed"], number[VELOCITY + "northSpeed"], -number[VELOCITY + "downSpeed"]))
         out |= {f"ecefVelocity.{n}": c for n, c in zip(("dx", "dy", "dz"), v, strict=True)}
     if ELLIPSE + "semiMajorAxisLength" in df.columns:
-        ellipse = geo.Ellipse(number(ELLIPSE + "semiMajorAxisLength", 1000.0), number(ELLIPSE + "semiMinorAxisLength", 1000.0), number(ELLIPSE + "orientation", 0.0))
+        ellipse = geo.Ellipse(*[number[ELLIPSE + n] for n in ("semiMajorAxisLength", "semiMinorAxisLength", "orientation")])
         out |= {f"positionCovariance.{n}": c for n, c in geo.ellipse_covariance(latitude, longitude, ellipse)._asdict().items()}
-    rows = df.filter(field(TIME).isNotNull() & latitude.isNotNull() & longitude.isNotNull())
-    return rows.select(*[field(c) for c in rows.columns if c not in out], *[c.alias(n) for n, c in out.items()])
+    return rows.select(*[field(c) for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
 
 
 def tracked_state(heads: DataFrame) -> DataFrame:
     """Track heads as current kinematics: geodetic position, local velocity, uncertainty ellipse and quality from the earth-fixed ones.
 
     The time is the track's own; where a head has none it stays null."""
-    p = geo.to_geodetic(geo.Vector(*[field(f"ecefPosition.{n}") for n in "xyz"]))
     times = [field(c) for c in ("interceptTimestamp", "trackUpdatedTimestamp") if c in heads.columns]
     rows = heads.filter(field("ecefPosition.x").isNotNull() | field("ecefPosition.y").isNotNull() | field("ecefPosition.z").isNotNull())
+    rows, p = geo.staged(rows, "p", geo.to_geodetic(geo.Vector(*[field(f"ecefPosition.{n}") for n in "xyz"])))
     out = {TIME: times[0] if times else F.lit(None).cast("string"), POSITION + "latitude": p.x, POSITION + "longitude": p.y, POSITION + "altitude": p.z}
     if "ecefVelocity.dx" in heads.columns:
-        v = geo.ecef_to_enu(p.x, p.y, geo.Vector(*[field(f"ecefVelocity.{n}") for n in ("dx", "dy", "dz")]))
+        rows, v = geo.staged(rows, "v", geo.ecef_to_enu(p.x, p.y, geo.Vector(*[field(f"ecefVelocity.{n}") for n in ("dx", "dy", "dz")])))
         out |= {VELOCITY + "eastSpeed": v.x, VELOCITY + "northSpeed": v.y, VELOCITY + "downSpeed": -v.z}
     if "positionCovariance.xx" in heads.columns:
         c = geo.rotate_to_enu(p.x, p.y, geo.Covariance(*[field(f"positionCovariance.{n}") for n in geo.Covariance._fields]))
-        e = geo.covariance_ellipse(c.xx, c.xy, c.yy)
+        rows, local = geo.staged(rows, "c", geo.Vector(c.xx, c.xy, c.yy))
+        rows, e = geo.staged(rows, "e", geo.Vector(*geo.covariance_ellipse(local.x, local.y, local.z)))
         base = POSITION + "uncertainty.uncertaintyEllipse."
-        out |= {base + "semiMajorAxisLength": e.major, base + "semiMinorAxisLength": e.minor, base + "orientation": e.orientation, "trackQuality": geo.track_quality(geo.circular_area(e.major, e.minor))}
-    keep = [c for c in rows.columns if c not in out and not c.startswith("estimatedKinematics")]
+        out |= {base + "semiMajorAxisLength": e.x, base + "semiMinorAxisLength": e.y, base + "orientation": e.z, "trackQuality": geo.track_quality(geo.circular_area(e.x, e.y))}
+    keep = [c for c in heads.columns if c not in out and not c.startswith("estimatedKinematics")]
     return rows.select(*[field(c) for c in keep], *[c.alias(n) for n, c in out.items()])
 
 

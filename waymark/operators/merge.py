@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.scalars import field, iso_millis
+from waymark.functions.scalars import field, iso_millis, seconds
 
 SOURCES = 20
 
@@ -168,7 +168,7 @@ def segments(df: DataFrame, key: str, at: str, max_gap_seconds: float, seq: str
     """Adds dt (seconds since the row before, null at first) and segment, which grows after a gap that is too long."""
     order = [field(at)] + ([field(seq)] if seq else [])
     by_key = Window.partitionBy(field(key)).orderBy(*order)
-    dt = field(at).cast("double") - F.lag(field(at).cast("double")).over(by_key)
+    dt = seconds(field(at)) - F.lag(seconds(field(at))).over(by_key)
     rows = df.withColumn("dt", dt)
     return rows.withColumn("segment", F.sum(F.when(F.col("dt") > max_gap_seconds, 1).otherwise(0)).over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.scalars import field
+from waymark.functions.scalars import field, seconds
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def top_by_group(df: DataFrame, group: Column, by: Column, now: Column, look_bac
     hours = F.lit(default_hours)
     for name, value in look_back.items():
         hours = F.when(group == name, F.lit(float(value))).otherwise(hours)
-    recent = df.withColumn("__wm_group", group).filter(by.cast("double") >= now.cast("double") - hours * 3600)
+    recent = df.withColumn("__wm_group", group).filter(seconds(by) >= seconds(now) - hours * 3600)
     ranked = recent.withColumn("__wm_rank", F.row_number().over(Window.partitionBy("__wm_group").orderBy(by.desc(), F.xxhash64(*[field(c) for c in df.columns]))))
     return ranked.filter(F.col("__wm_rank") <= n).drop("__wm_rank", "__wm_group")
 
@@ -56,7 +56,7 @@ def since(df: DataFrame, by: str, id_col: str, cursor: tuple | None, overlap_sec
         return df
     at, last = F.lit(cursor[0]).cast("timestamp"), F.lit(cursor[1])
     if overlap_seconds:
-        return df.filter(field(by).cast("double") >= at.cast("double") - overlap_seconds)
+        return df.filter(seconds(field(by)) >= seconds(at) - overlap_seconds)
     return df.filter((field(by) > at) | ((field(by) == at) & (field(id_col) > last)))
 
 
