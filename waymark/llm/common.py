@@ -32,11 +32,22 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
-    """Of a function on batches: gives memory back to the system when a task ends, as workers live on and share a machine."""
+#: What operators remember in a worker from task to task, by owner: how to forget it.
+_REMEMBERED: dict[str, Callable[[], object]] = {}
+
+
+def remember(owner: str, forget: Callable[[], object]) -> None:
+    _REMEMBERED[owner] = forget
+
+
+def tidy(run: Callable[[Iterable], Iterator], owner: str = "") -> Callable[[Iterable], Iterator]:
+    """Of a function on batches: other owners' memories are forgotten when a task begins, and memory is given back to the
+    system when it ends, as workers live on and share a machine."""
 
     @wraps(run)
     def tidied(batches: Iterable) -> Iterator:
+        for other in [o for o in _REMEMBERED if o != owner]:
+            _REMEMBERED.pop(other)()
         try:
             yield from run(batches)
         finally:
@@ -48,6 +59,23 @@ def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
     return tidied
 
 
+#: Bytes of a batch of rows for Python. By default a batch has 10 000 rows and up to 64 MB, which with long texts is held several times over.
+BATCH = "4m"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """Sets the session's batch size for Python, unless its user has set one."""
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(name, "67108864b") in ("67108864b", "67108864", "64m", "64MB"):
+        conf.set(name, BATCH)
+    return df
+
+
+def mapped(df: DataFrame, run: Callable[[Iterable], Iterator], schema: str, owner: str = "") -> DataFrame:
+    """mapInArrow with `tidy` and small batches, for DataFrame.transform."""
+    return in_small_batches(df).mapInArrow(tidy(run, owner), schema)
+
+
 #: Bits of a bitmap: 2**26 bits are 8 MiB, the most that is ever broadcast.
 BITS = 1 << 26
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.bytectx import Contexts, grams, totals
-from waymark.llm.common import documents, tidy
+from waymark.llm.common import documents, in_small_batches, mapped, tidy
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -143,7 +143,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", id_col: str = "doc
             name, share, bits = score(sent.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(name, pa.string()), pa.array(share), pa.array(bits)], names=["id", "lang_pred", "score", "bits_per_byte"])
 
-    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").mapInArrow(tidy(run), "id long, lang_pred string, score double, bits_per_byte double")
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, "id long, lang_pred string, score double, bits_per_byte double")
 
 
 def drop_unidentified(df: DataFrame, model: Model, text: str = "text", min_score: float = 0.5, max_bits: float = 6.5) -> DataFrame:
@@ -160,7 +160,7 @@ def drop_unidentified(df: DataFrame, model: Model, text: str = "text", min_score
         return judged(batches)
 
     known = F.pandas_udf(known, "boolean")
-    return df.filter(known(F.col(text)))
+    return in_small_batches(df).filter(known(F.col(text)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

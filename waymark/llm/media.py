@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import documents, stored, tidy
+from waymark.llm.common import documents, mapped, stored
 
 ROW = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -81,7 +81,7 @@ def media_store(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> Da
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(digests), pa.array(media, pa.binary())], names=["id", "digest", "media"])
 
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text")
-    return stored(rows.mapInArrow(tidy(run), "id long, digest string, media binary"), "media")
+    return stored(rows.transform(mapped, run, "id long, digest string, media binary"), "media")
 
 
 def feature(samples: np.ndarray) -> str:
@@ -112,7 +112,7 @@ def read_back(media: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     schema = "digest string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, feature string"
-    return media.select("digest", "media").mapInArrow(tidy(run), schema)
+    return media.select("digest", "media").transform(mapped, run, schema)
 
 
 class _Page(HTMLParser):
@@ -194,7 +194,7 @@ def sequences(df: DataFrame, html: str = "html", id_col: str = "page_id") -> Dat
             items = pa.array([parse(x) for x in batch.column(1).to_pylist()], pa.list_(item))
             yield pa.RecordBatch.from_arrays([batch.column(0), items], names=["id", "items"])
 
-    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{html}` html").mapInArrow(tidy(run), f"id long, items array<{ITEM}>")
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{html}` html").transform(mapped, run, f"id long, items array<{ITEM}>")
 
 
 def digest_of(ref: Column) -> Column:

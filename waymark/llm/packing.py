@@ -27,7 +27,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm.common import documents, tidy
+from waymark.llm.common import documents, mapped, remember
 
 WINDOW = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -105,6 +105,7 @@ class _Chunks(_Memory):
 
 @cache
 def _chunks(path: str) -> _Chunks:
+    remember("packing", _chunks.cache_clear)
     return _Chunks(path)
 
 
@@ -222,7 +223,7 @@ def pack(df: DataFrame, text: str = "text", id_col: str = "doc_id", path: str |
         if rows := rows + packer.settle(last=True):
             yield out(rows)
 
-    return df.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text}` text").mapInArrow(tidy(run), SCHEMA)
+    return df.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text}` text").transform(mapped, run, SCHEMA, "packing")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import documents, tidy
+from waymark.llm.common import documents, mapped, remember
 
 WORDS = 512
 #: Kinds of bytes whose shares are features.
@@ -53,6 +53,8 @@ class _Buckets(dict):
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh32_intdigest(word) % WORDS
+        if not self:
+            remember("quality", self.clear)
         if len(word) <= 24 and len(self) < 400_000:
             self[word] = found
         return found
@@ -235,7 +237,7 @@ def train(df: DataFrame, labels: DataFrame, text: str = "text", source: str = "s
             columns = [batch.column(0), batch.column(5), pa.array(at, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), pa.array(cells, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "at", "values", "cells"])
 
-    found = sample.select("id", "text", "source", "lang", "size", "y").mapInArrow(tidy(run), "id long, y double, at array<int>, values array<float>, cells array<int>")
+    found = sample.select("id", "text", "source", "lang", "size", "y").transform(mapped, run, "id long, y double, at array<int>, values array<float>, cells array<int>", "quality")
     table = found.limit(2 * (labelled + pool)).toArrow().sort_by("id")
     n = len(table)
     if not n:
@@ -263,7 +265,7 @@ def score_documents(df: DataFrame, model: Model, text: str = "text", source: str
                 columns = [some.column(0), *(pa.array(np.asarray(c, float)) for c in (ours.score(x, m), both[:, 0], both[:, 1]))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "score", "text_score", "meta_score"])
 
-    return _rows(df, text, source, lang, size, id_col).mapInArrow(tidy(run), "id long, score double, text_score double, meta_score double")
+    return _rows(df, text, source, lang, size, id_col).transform(mapped, run, "id long, score double, text_score double, meta_score double", "quality")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

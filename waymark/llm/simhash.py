@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import bitmap, columns_of, documents, marked, slot, stored, tidy
+from waymark.llm.common import bitmap, columns_of, documents, mapped, marked, slot, stored
 from waymark.llm.components import connected_components
 
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -151,7 +151,7 @@ def fingerprints(df: DataFrame, text: str = "text", id_col: str = "doc_id", word
             bodies = np.array([xxhash.xxh64_intdigest(x, 42) for x in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array(bodies)], names=["id", "print", "body"])
 
-    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").mapInArrow(tidy(run), "id long, print long, body long")
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, "id long, print long, body long")
 
 
 def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
@@ -188,8 +188,8 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
         if held:
             yield from out(*map(np.concatenate, zip(*held, strict=True)))
 
-    keyed = prints.select("print").mapInArrow(tidy(key_rows), "key int, print long")
-    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(link_rows), "u long, v long")
+    keyed = prints.select("print").transform(mapped, key_rows, "key int, print long")
+    found = keyed.repartition("key").sortWithinPartitions("key").transform(mapped, link_rows, "u long, v long")
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
