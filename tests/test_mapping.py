@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.operators.hooks import HOOKS, insert_values
+from waymark.operators.hooks import HOOKS, frame_hook, insert_values, record_hook
 from waymark.operators.mapping import compact_json, configured_fields, convert, domain_label, flatten, get_path, keyed, label, map_fields, move_fields, nest, prepare, remove_path, set_path, without_prefixes
 from waymark.sources.feeds import ConfigError, bad_messages, dataset_name, feed_spec, load, not_tracked, parse_records, resolve, save
 
@@ -129,3 +129,22 @@ def test_unknown_conversion_and_tracked(spark):
     df = spark.createDataFrame([("KINEMATIC_UPDATE", "A"), ("KINEMATIC_UPDATE", "B"), ("KINEMATIC_UPDATE", None), ("STATE_UPDATE", "A"), (None, "A")], "e string, d string")
     assert [r["d"] for r in df.filter(not_tracked(F.col("e"), F.col("d"), ["A"])).collect()] == ["B", None, "A", "A"]
     assert keyed(df, ["nothing"]).filter("key is not null").count() == 0
+
+
+def test_own_hooks(spark):
+    spec = feed_spec(FEED | {"custom_functions": [{"function_name": "double"}, {"function_name": "PLACEHOLDER_x"}], "factor": 3})
+
+    def double(records, options):
+        return [r | {"alt": None if r["alt"] is None else r["alt"] * options["factor"]} for r in records if r["hex"] != "b"]
+
+    hooks = {"double": record_hook(double)}
+    # a record function keeps the flat columns that it is given
+    flat = flatten(frame(spark)).drop("mmsi")
+    got = hooks["double"](flat, None, spec)
+    assert got.columns == flat.columns and sorted(str(r["alt"]) for r in got.collect()) == ["3.0", "300.0", "None"]
+    assert set(r["key"] for r in prepare(frame(spark), spec, "seq", hooks).collect()) == {"identity.callsign-a1"}
+    with pytest.raises(ConfigError):
+        prepare(frame(spark), spec, "seq")
+    with pytest.raises(Exception, match="list of dicts"):
+        record_hook(lambda records, options: None)(flat, None, spec).collect()
+    assert frame_hook(lambda pdf, options: pdf[["hex"]].head(1), "hex string")(flat.coalesce(1), None, spec).count() == 1

@@ -3,8 +3,12 @@ expressions or joins; a function of one's own can use mapInPandas. Columns that
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from waymark.functions import geo, scalars
 from waymark.functions.scalars import field, id_text, not_blank
@@ -108,3 +112,46 @@ HOOKS = {
     "failed_destroyed": failed_status,
     "set_kinematics_system_status": status_kinematics,
 }
+
+
+def _by_place(df: DataFrame, run: Callable[[pd.DataFrame], pd.DataFrame], out) -> DataFrame:
+    """mapInPandas for columns whose names have dots, which would be taken for paths: they go in by place and get their names back."""
+    names = list(df.columns)
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf.columns = names
+            yield run(pdf)
+
+    return df.toDF(*[f"c{k}" for k in range(len(names))]).mapInPandas(named, out)
+
+
+def record_hook(function: Callable[[list[dict], dict], list[dict]], schema: str | None = None):
+    """A hook of a function on records, (list of dicts, options) to list of dicts, run on Arrow batches. It sees a batch, not all rows.
+
+    schema: of what it returns, if that isn't the schema it gets. Fields that it leaves out are null; what isn't a list of dicts is an error."""
+
+    def hook(df: DataFrame, entities, spec: FeedSpec) -> DataFrame:
+        out, options = schema or df.schema, dict(spec.options) if spec else {}
+        names = StructType.fromDDL(schema).names if schema else df.columns
+
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            given = [{k: None if isinstance(v, float) and v != v else v for k, v in r.items()} for r in pdf.to_dict("records")]
+            made = function(given, options)
+            if not isinstance(made, list) or not all(isinstance(r, dict) for r in made):
+                raise TypeError(f"{getattr(function, '__name__', 'function')} must return a list of dicts")
+            return pd.DataFrame([{n: r.get(n) for n in names} for r in made], columns=names)
+
+        return _by_place(df, run, out)
+
+    return hook
+
+
+def frame_hook(function: Callable[[pd.DataFrame, dict], pd.DataFrame], schema: str | None = None):
+    """The same for a function on pandas frames."""
+
+    def hook(df: DataFrame, entities, spec: FeedSpec) -> DataFrame:
+        options = dict(spec.options) if spec else {}
+        return _by_place(df, lambda pdf: function(pdf, options), schema or df.schema)
+
+    return hook
