@@ -18,8 +18,10 @@ row: nothing is shuffled.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,10 +178,19 @@ def rules() -> list[Rule]:
     return out
 
 
+@cache
+def _rules_json() -> str:
+    return json.dumps([{"n": n, "label": r.label, "keyword": r.keyword, "priority": r.priority, "pattern": r.pattern, "confidence": CONFIDENCE[r.priority]} for n, r in enumerate(rules())])
+
+
+def _table() -> Column:
+    """The rules as a constant, which the optimizer evaluates once."""
+    return F.from_json(F.lit(_rules_json()), "array<struct<n:int,label:string,keyword:string,priority:int,pattern:string,confidence:double>>")
+
+
 def _detections(text: Column, lower: Column) -> Column:
     """array<struct<start, rule, end>> of all rules whose keyword occurs, in order of start."""
-    table = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern")) for n, r in enumerate(rules())])
-    gated = F.filter(table, lambda r: F.contains(lower, r["keyword"]))
+    gated = F.filter(_table(), lambda r: F.contains(lower, r["keyword"]))
     return F.array_sort(F.flatten(F.transform(gated, lambda r: match_spans(text, r["pattern"], r["n"]))))
 
 
@@ -188,8 +199,8 @@ def _suppressed(found: Column) -> Column:
 
     `reach[p]` is the furthest end of priorities 1 to p among those that start earlier or equal (longer first); going
     backwards `near[p]` is the nearest end of priorities better than p among those that start later or equal."""
-    priorities = F.array(*[F.lit(r.priority) for r in rules()])
-    entry = F.transform(found, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("longer"), F.get(priorities, s["kind"]).alias("p"), s["kind"].alias("rule")))
+    table = _table()
+    entry = F.transform(found, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("longer"), F.get(table, s["kind"])["priority"].alias("p"), s["kind"].alias("rule")))
     levels = F.array(*[F.lit(p) for p in range(1, 6)])
     kept_type = "array<struct<start:int,longer:int,p:int,rule:int>>"
 
@@ -237,7 +248,7 @@ def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     )
     rows = rows.withColumn("base", F.when(F.contains("lower", F.lit("license")), F.array(*[_places(F.col("lower"), p) for p, _ in PHRASES])))
     rows = rows.withColumn("kept", F.when(F.col("lower").isNotNull(), _suppressed(_detections(F.col("t"), F.col("lower")))))
-    table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(CONFIDENCE[r.priority]).alias("confidence")) for r in rules()])
+    table = _table()
     detections = F.transform(
         F.array_sort("kept"), lambda s: F.struct(s["start"].alias("start"), (-s["longer"]).alias("end"), F.get(table, s["rule"])["label"].alias("label"), s["p"].alias("priority"))
     )
