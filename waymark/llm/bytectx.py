@@ -20,6 +20,8 @@ class Contexts:
 
     pairs: sorted codes (second last << 8 | last); triples: sorted codes (third last << 16 | pair), whose pairs are known."""
 
+    depth = DEPTH
+
     def __init__(self, pairs: np.ndarray, triples: np.ndarray) -> None:
         self.pairs, self.triples = np.asarray(pairs, np.int64), np.asarray(triples, np.int64)
         n = len(self.pairs)
@@ -36,16 +38,16 @@ class Contexts:
         return (state << 8) | data[3:]
 
 
-def blocks(texts: list[bytes], tail: bytes = b"") -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]]]]:
-    """(data, spans): bytes with three before each part, and (text, from, to) of the parts in terms of data[3:]."""
+def blocks(texts: list[bytes], tail: bytes = b"", depth: int = DEPTH) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]]]]:
+    """(data, spans): bytes with `depth` before each part, and (text, from, to) of the parts in terms of data[depth:]."""
     held, spans, size = [], [], 0
     for k, text in enumerate(texts):
         text += tail
         for at in range(0, len(text), BLOCK):
             part = text[at : at + BLOCK]
-            held += [text[max(0, at - DEPTH) : at].rjust(DEPTH, b"\0"), part]
+            held += [text[max(0, at - depth) : at].rjust(depth, b"\0"), part]
             spans.append((k, size, size + len(part)))
-            size += DEPTH + len(part)
+            size += depth + len(part)
             if size >= BLOCK:
                 yield np.frombuffer(b"".join(held), np.uint8), spans
                 held, spans, size = [], [], 0
@@ -62,10 +64,10 @@ def inside(spans: list[tuple[int, int, int]], n: int) -> np.ndarray:
     return np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
 
 
-def totals(texts: list[bytes], contexts: Contexts, table: np.ndarray, tail: bytes = b"") -> np.ndarray:
-    """For each text the sum of table[state * 256 + byte], a row of the table's columns."""
+def totals(texts: list[bytes], contexts, table: np.ndarray, tail: bytes = b"") -> np.ndarray:
+    """For each text the sum of the table's rows at contexts.cells of its bytes."""
     out = np.zeros((len(texts), table.shape[1]))
-    for data, spans in blocks(texts, tail):
+    for data, spans in blocks(texts, tail, contexts.depth):
         values = table[contexts.cells(data)]
         bounds = np.array([s[1:] for s in spans]).ravel()
         if bounds[-1] == len(values):
@@ -83,16 +85,19 @@ def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return found, np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
 
 
-def grams(texts: list[bytes], tail: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (three bytes before, byte) as 32-bit codes, and their counts. Blocks are reduced one by one."""
+def grams(texts: list[bytes], tail: bytes = b"", depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (`depth` bytes before, byte) as numbers of depth + 1 bytes, and their counts. Blocks are reduced one by one."""
+    kind = np.uint32 if depth <= 3 else np.uint64
     codes, counts, held = [], [], 0
-    for data, spans in blocks(texts, tail):
-        code = data[:-3].astype(np.uint32) << 24 | data[1:-2].astype(np.uint32) << 16 | data[2:-1].astype(np.uint32) << 8 | data[3:]
+    for data, spans in blocks(texts, tail, depth):
+        code = np.zeros(len(data) - depth, kind)
+        for k in range(depth + 1):
+            code = code << kind(8) | data[k : len(data) - depth + k]
         some, n = np.unique(code[inside(spans, len(code))], return_counts=True)
         codes.append(some)
         counts.append(n)
         held += len(some)
-        if held > BLOCK:
+        if held > 2 * BLOCK:
             some, n = merged(codes, counts)
             codes, counts, held = [some], [n], 0
     return merged(codes, counts)
