@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -16,10 +17,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """The frame as a Parquet table in the folder of spark.checkpoint.dir, where its lineage ends. All executors share that folder."""
-    folder = df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The frame as a Parquet table in the folder of spark.checkpoint.dir, where its lineage ends. All executors share that folder; only
+    where none is set (a session on one machine, as in tests) a temporary one is made and set."""
+    context = df.sparkSession.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-"))
+        folder = context.getCheckpointDir()
     path = f"{folder.rstrip('/')}/waymark-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
