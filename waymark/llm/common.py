@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
@@ -18,10 +19,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which every executor and the driver can reach."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder of spark.checkpoint.dir, which every executor and the driver can reach. Only where none is set (a session on one
+    machine, as in tests) a temporary folder is made and set."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
