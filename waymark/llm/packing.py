@@ -94,9 +94,15 @@ class _Chunks(_Memory):
     def __missing__(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        plain = max(chunk) < "\u0300" and "<" not in chunk
-        if plain:
-            found = b"".join(map(self.words.__getitem__, _WORD.findall(chunk.lower())))
+        words, low = self.words, chunk.lower()
+        if not (chunk.isascii() or max(chunk) < "\u0300"):
+            found = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        elif low.isalpha():  # one word
+            found = words[low]
+        elif low[-1] in ".,;:!?|" and low[:-1].isalpha():  # one word and one sign
+            found = words[low[:-1]] + words[low[-1]]
+        elif "<" not in chunk:
+            found = b"".join(map(words.__getitem__, _WORD.findall(low)))
         else:
             found = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
         self.remember(chunk, found)
