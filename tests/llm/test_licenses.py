@@ -72,3 +72,26 @@ def test_labels_of_common_lines(spark):
     labels = {r["id"]: r["labels"] for r in scan_licenses(frame).collect()}
     assert labels[3] == ["apache", "apache-2.0"] and labels[6] == ["cc-by-nc-4.0"]
     assert labels[4] == ["mit"] and labels[5] == ["gpl", "gpl-3.0"] and labels[12] == []
+
+
+UNHINTED = {
+    "released under the GNU GPL v3": "gpl-3.0",
+    "GPL-3.0 or later": "gpl-3.0",
+    "CC0 1.0 Universal": "cc0-1.0",
+    "Distributed under Apache 2.0 terms": "apache-2.0",
+    "published under MIT": "mit",
+    "https://www.mozilla.org/MPL/2.0/": "mpl-2.0",
+    "This software is provided 'as-is', without any express or implied warranty": "zlib",
+    "All advertising materials mentioning features or use of this software must display": "bsd-4-clause",
+    "confidential and proprietary": "proprietary",
+}
+
+
+def test_texts_without_common_words_are_scanned(spark):
+    """Of rules with their keywords, not of any other words."""
+    rows = list(enumerate([*UNHINTED, "plain words"]))
+    got = {r["id"]: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, label) in enumerate(UNHINTED.items()):
+        assert label in got[i]["labels"] and got[i]["score"] > 0, text
+        assert [tuple(d) for d in got[i]["detections"]] == sorted(brute_detections(text))
+    assert got[len(UNHINTED)]["labels"] == [] and got[len(UNHINTED)]["score"] == 0

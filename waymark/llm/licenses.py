@@ -2,7 +2,7 @@
 
 Rules are regular expressions with a label, a keyword, a priority (1 is best) and a confidence. Each family of licenses
 gives five (tag, address, grant, name, short name with version), and sentences of well-known texts are rules of their own.
-A text is looked at closely only if a common hint occurs; then those rules only whose keyword occurs in it.
+Of a text those rules only are looked for whose keyword occurs in it, and whatever else all of their matches hold.
 
 Detections are intervals of code points. Of equal intervals the one of best priority stays (then the earlier rule). One
 that lies within another of the same or a better priority is suppressed, and so is one that contains another of a
@@ -34,7 +34,6 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 #: All that isn't part of a word once A-Z are lower-cased; the upper-case letters are left in, so no lower-casing is needed.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-HINT = r"(?i)licen[cs]e|copyright|spdx|public domain|permission|redistribut|rights reserved|creative ?commons|\bcc[ -](?:by|0)"
 
 #: Families: label | keyword | tag | name as a pattern.
 FAMILIES = """
@@ -156,6 +155,8 @@ class Rule:
     keyword: str
     priority: int
     pattern: str
+    #: What every match of the pattern holds besides, in lower case.
+    needs: tuple[str, ...] = ()
 
 
 def rules() -> list[Rule]:
@@ -168,16 +169,22 @@ def rules() -> list[Rule]:
         label, keyword, tag, name = (x.strip() for x in line.split(" | ", 3))
         safe = re.escape(tag).replace("/", "\\/")
         short = re.escape(tag).replace(r"\-", "[- ]?v?")
+        first, *more = tag.lower().split("-")
+        numbered = bool(re.search(r"\d", tag))
         out += [
             Rule(label, "spdx", 1, rf"(?i)spdx-license-identifier:\s*{safe}(?:-only|-or-later)?(?![\w.-])"),
             Rule(label, "/licenses/", 1, rf"(?i)(?:opensource|spdx)\.org/licenses/{safe}(?![\w.-])"),
-            Rule(label, keyword, 2, rf"(?i)(?:licen[cs]ed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{name}(?![\w.]\w)"),
-            Rule(label, keyword, 3, rf"(?i)\b{name}(?:[ -]style)? (?:public |software )?licen[cs]e"),
-            Rule(label, tag.lower().split("-")[0], 4, rf"(?i)\b{short}(?![\w.-])" if re.search(r"\d", tag) else rf"(?i)licen[cs]e\W{{1,3}}{short}(?![\w.-])"),
+            Rule(label, keyword, 2, rf"(?i)(?:licen[cs]ed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{name}(?![\w.]\w)", (" under ",)),
+            Rule(label, keyword, 3, rf"(?i)\b{name}(?:[ -]style)? (?:public |software )?licen[cs]e", ("licen",)),
+            Rule(label, first, 4, rf"(?i)\b{short}(?![\w.-])" if numbered else rf"(?i)licen[cs]e\W{{1,3}}{short}(?![\w.-])", tuple(more) if numbered else ("licen", *more)),
         ]
     return out
 
 
+#: Where none of the rules' keywords occurs, no rule that has its keyword can match.
+HINT = "(?i)" + "|".join(sorted({re.escape(r.keyword) for r in rules()}))
+
+
 @cache
 def _rules_json() -> str:
     return json.dumps([{"n": n, "label": r.label, "keyword": r.keyword, "priority": r.priority, "pattern": r.pattern, "confidence": CONFIDENCE[r.priority]} for n, r in enumerate(rules())])
@@ -188,9 +195,20 @@ def _table() -> Column:
     return F.from_json(F.lit(_rules_json()), "array<struct<n:int,label:string,keyword:string,priority:int,pattern:string,confidence:double>>")
 
 
+@cache
+def _keywords_json() -> str:
+    """The rules by keyword, so that each keyword is looked for once."""
+    found: dict[str, list[dict]] = {}
+    for n, r in enumerate(rules()):
+        found.setdefault(r.keyword, []).append({"n": n, "pattern": r.pattern, "needs": r.needs})
+    return json.dumps([{"keyword": k, "rules": v} for k, v in found.items()])
+
+
 def _detections(text: Column, lower: Column) -> Column:
     """array<struct<start, rule, end>> of all rules whose keyword occurs, in order of start."""
-    gated = F.filter(_table(), lambda r: F.contains(lower, r["keyword"]))
+    by_keyword = F.from_json(F.lit(_keywords_json()), "array<struct<keyword:string,rules:array<struct<n:int,pattern:string,needs:array<string>>>>>")
+    near = F.flatten(F.transform(F.filter(by_keyword, lambda k: F.contains(lower, k["keyword"])), lambda k: k["rules"]))
+    gated = F.filter(near, lambda r: F.forall(r["needs"], lambda x: F.contains(lower, x)))
     return F.array_sort(F.flatten(F.transform(gated, lambda r: match_spans(text, r["pattern"], r["n"]))))
 
 
@@ -244,10 +262,10 @@ def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
         "id",
         "t",
         F.when(has_word, words).otherwise(0).cast("long").alias("n_words"),
-        F.when(F.rlike("t", F.lit(HINT)), F.lower("t")).alias("lower"),
+        F.lower("t").alias("lower"),
     )
     rows = rows.withColumn("base", F.when(F.contains("lower", F.lit("license")), F.array(*[_places(F.col("lower"), p) for p, _ in PHRASES])))
-    rows = rows.withColumn("kept", F.when(F.col("lower").isNotNull(), _suppressed(_detections(F.col("t"), F.col("lower")))))
+    rows = rows.withColumn("kept", _suppressed(_detections(F.col("t"), F.col("lower"))))
     table = _table()
     detections = F.transform(
         F.array_sort("kept"), lambda s: F.struct(s["start"].alias("start"), (-s["longer"]).alias("end"), F.get(table, s["rule"])["label"].alias("label"), s["p"].alias("priority"))
