@@ -51,3 +51,16 @@ def test_runs(spark, name):
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
+def test_twins_of_all_users(spark):
+    """Duplicates are looked for, decided and restored among all users' tracks, not the first twelve's."""
+    counts = spark.read.parquet(f"{PATH}/events.parquet").groupBy("user_id").count().collect()
+    users = {r["user_id"] for r in counts if r["count"] >= 5}
+    assert max(users) >= 12
+    found = {(r["a"], r["b"]) for r in catalog.QUERIES["duplicate_tracks"](spark, PATH).collect()}
+    assert {(f"a{u}", f"b{u}") for u in users} <= found
+    gone = {r[k] for r in catalog.QUERIES["supersede_actions"](spark, PATH).collect() for k in ("objectId", "supersededBy")}
+    assert {f"{side}{u}" for u in users for side in "ab"} <= gone
+    back = {r["objectId"] for r in catalog.QUERIES["restored_entities"](spark, PATH).collect()}
+    assert {f"b{u}" for u in users if u % 3 == 2 and u - 1 in users} <= back

@@ -269,8 +269,8 @@ def smoothed_tracks(spark, folder):
 
 
 def _twins(spark: SparkSession, folder: str) -> DataFrame:
-    """Tracks of the first users on a common clock, each twice: as it is, and staggered by a few seconds and metres."""
-    e = table(spark, folder, "events").filter("user_id < 12")
+    """Tracks of all users on a common clock, each twice: as it is, and staggered by a few seconds and metres."""
+    e = table(spark, folder, "events")
     t = F.expr("timestamp_micros(1704067200000000 + (event_id div 12) * 4000000)")
     rows = [tracks.measurements(e, track=F.concat(F.lit(name), F.col("user_id")), at=t + F.expr(f"interval {shift} seconds"), seq=F.col("event_id"), environment=F.lit("SEA_SURFACE"), x=F.lit(geo.A), y=F.col("user_id") * 50_000 + F.col("event_id") / 12 * 20 + shift * 5 + F.col("value") % 3, z=F.lit(float(shift))) for name, shift in (("a", 0), ("b", 2))]
     return rows[0].unionByName(rows[1])
@@ -294,7 +294,10 @@ def supersede_actions(spark, folder):
 def restored_entities(spark, folder):
     """Superseded entities that have moved away from their survivor."""
     h = duplicates.histories(_twins(spark, folder))
-    roots = spark.createDataFrame([("b1", "a1"), ("b2", "a1"), ("b3", None)], "id string, root string")
+    user = F.col("user_id")
+    # of each three users the first two's twins are superseded by the first's track, and the third's is not
+    root = F.when(user % 3 == 1, user).when(user % 3 == 2, user - 1)
+    roots = table(spark, folder, "events").select("user_id").distinct().select(F.concat(F.lit("b"), user).alias("id"), F.concat(F.lit("a"), root).alias("root"))
     return _rounded(duplicates.parted(roots, h))
 
 
