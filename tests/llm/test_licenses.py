@@ -95,3 +95,25 @@ def test_texts_without_common_words_are_scanned(spark):
         assert label in got[i]["labels"] and got[i]["score"] > 0, text
         assert [tuple(d) for d in got[i]["detections"]] == sorted(brute_detections(text))
     assert got[len(UNHINTED)]["labels"] == [] and got[len(UNHINTED)]["score"] == 0
+
+
+UNKEYED = {
+    "Released under the Expat License": ("mit", 0.95),
+    "the X11 License": ("mit", 0.8),
+    "available under Creative Commons Zero 1.0": ("cc0-1.0", 0.95),
+    "licensed under CC-BY-4.0": ("cc-by-4.0", 0.95),
+    "licensed under CC BY-NC-SA 4.0": ("cc-by-nc-sa-4.0", 0.95),
+    "released under foo terms": ("unspecified", 0.3),
+}
+
+
+def test_keywords_are_in_all_matches(spark):
+    """What passes all rules without any gate is what is found."""
+    texts = [*UNKEYED, *UNHINTED, *(t for t in TEXTS if t and len(t) < 500)]
+    for r in rules():
+        for text in texts:
+            for m in re.finditer(r.pattern, text, re.A):
+                assert all(k in m[0].lower() for k in (r.keyword, *r.needs)), (r, m[0])
+    got = {r["id"]: r for r in scan_licenses(spark.createDataFrame(list(enumerate(UNKEYED)), "doc_id long, text string")).collect()}
+    for i, (label, score) in enumerate(UNKEYED.values()):
+        assert label in got[i]["labels"] and got[i]["score"] == score, (list(UNKEYED)[i], got[i])

@@ -35,9 +35,9 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-#: Families: label | keyword | tag | name as a pattern.
+#: Families: label | keyword | tag | name as a pattern. The keyword is in all that the name matches; - where no word is.
 FAMILIES = """
-mit | mit | MIT | (?:mit|expat|x11)
+mit | - | MIT | (?:mit|expat|x11)
 mit-0 | mit | MIT-0 | mit(?: license)? (?:no attribution|zero)
 apache-1.0 | apache | Apache-1.0 | apache(?: software)?(?: license)?,? (?:version |v\\.? ?)?1\\.0
 apache-1.1 | apache | Apache-1.1 | apache(?: software)?(?: license)?,? (?:version |v\\.? ?)?1\\.1
@@ -87,16 +87,16 @@ ms-rl | microsoft reciprocal | MS-RL | microsoft reciprocal
 odbl-1.0 | open database | ODbL-1.0 | (?:open data commons )?open database(?: license)?,? ?(?:(?:version |v\\.? ?)?1\\.0)?
 odc-by-1.0 | open data commons | ODC-By-1.0 | open data commons attribution(?: license)?,? ?(?:(?:version |v\\.? ?)?1\\.0)?
 pddl-1.0 | public domain dedication | PDDL-1.0 | (?:open data commons )?public domain dedication and(?: license)?
-cc0-1.0 | cc0 | CC0-1.0 | (?:creative commons zero|cc0)(?: 1\\.0)?
-cc-by-3.0 | cc by | CC-BY-3.0 | cc[ -]by[ -]3\\.0
-cc-by-4.0 | cc by | CC-BY-4.0 | cc[ -]by[ -]4\\.0
-cc-by-sa-3.0 | cc by | CC-BY-SA-3.0 | cc[ -]by[ -]sa[ -]3\\.0
-cc-by-sa-4.0 | cc by | CC-BY-SA-4.0 | cc[ -]by[ -]sa[ -]4\\.0
-cc-by-nc-3.0 | cc by | CC-BY-NC-3.0 | cc[ -]by[ -]nc[ -]3\\.0
-cc-by-nc-4.0 | cc by | CC-BY-NC-4.0 | cc[ -]by[ -]nc[ -]4\\.0
-cc-by-nd-4.0 | cc by | CC-BY-ND-4.0 | cc[ -]by[ -]nd[ -]4\\.0
-cc-by-nc-sa-4.0 | cc by | CC-BY-NC-SA-4.0 | cc[ -]by[ -]nc[ -]sa[ -]4\\.0
-cc-by-nc-nd-4.0 | cc by | CC-BY-NC-ND-4.0 | cc[ -]by[ -]nc[ -]nd[ -]4\\.0
+cc0-1.0 | - | CC0-1.0 | (?:creative commons zero|cc0)(?: 1\\.0)?
+cc-by-3.0 | cc | CC-BY-3.0 | cc[ -]by[ -]3\\.0
+cc-by-4.0 | cc | CC-BY-4.0 | cc[ -]by[ -]4\\.0
+cc-by-sa-3.0 | cc | CC-BY-SA-3.0 | cc[ -]by[ -]sa[ -]3\\.0
+cc-by-sa-4.0 | cc | CC-BY-SA-4.0 | cc[ -]by[ -]sa[ -]4\\.0
+cc-by-nc-3.0 | cc | CC-BY-NC-3.0 | cc[ -]by[ -]nc[ -]3\\.0
+cc-by-nc-4.0 | cc | CC-BY-NC-4.0 | cc[ -]by[ -]nc[ -]4\\.0
+cc-by-nd-4.0 | cc | CC-BY-ND-4.0 | cc[ -]by[ -]nd[ -]4\\.0
+cc-by-nc-sa-4.0 | cc | CC-BY-NC-SA-4.0 | cc[ -]by[ -]nc[ -]sa[ -]4\\.0
+cc-by-nc-nd-4.0 | cc | CC-BY-NC-ND-4.0 | cc[ -]by[ -]nc[ -]nd[ -]4\\.0
 """
 
 #: Sentences and other rules: label | keyword | priority | pattern.
@@ -144,7 +144,7 @@ bsd | bsd | 3 | \\bbsd(?:[- ]style)? licen[cs]e
 artistic | artistic | 3 | artistic licen[cs]e
 creative-commons | creative commons | 3 | creative commons attribution[- a-z]{0,40}
 creative-commons | cc | 4 | \\bcc[ -]by(?:[ -](?:sa|nc|nd)){0,2}\\b
-unspecified | licen | 5 | (?:licen[cs]ed|released|distributed|published) under (?:the |a |an )?\\S+
+unspecified | under | 5 | (?:licen[cs]ed|released|distributed|published) under (?:the |a |an )?\\S+
 """
 CONFIDENCE = {1: 1.0, 2: 0.95, 3: 0.8, 4: 0.6, 5: 0.3}
 
@@ -167,6 +167,7 @@ def rules() -> list[Rule]:
         out.append(Rule(label, keyword, int(priority), f"(?i){pattern}"))
     for line in FAMILIES.strip().splitlines():
         label, keyword, tag, name = (x.strip() for x in line.split(" | ", 3))
+        under, named = (" under ", "licen") if keyword == "-" else (keyword, keyword)
         safe = re.escape(tag).replace("/", "\\/")
         short = re.escape(tag).replace(r"\-", "[- ]?v?")
         first, *more = tag.lower().split("-")
@@ -174,8 +175,8 @@ def rules() -> list[Rule]:
         out += [
             Rule(label, "spdx", 1, rf"(?i)spdx-license-identifier:\s*{safe}(?:-only|-or-later)?(?![\w.-])"),
             Rule(label, "/licenses/", 1, rf"(?i)(?:opensource|spdx)\.org/licenses/{safe}(?![\w.-])"),
-            Rule(label, keyword, 2, rf"(?i)(?:licen[cs]ed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{name}(?![\w.]\w)", (" under ",)),
-            Rule(label, keyword, 3, rf"(?i)\b{name}(?:[ -]style)? (?:public |software )?licen[cs]e", ("licen",)),
+            Rule(label, under, 2, rf"(?i)(?:licen[cs]ed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{name}(?![\w.]\w)", (" under ",)),
+            Rule(label, named, 3, rf"(?i)\b{name}(?:[ -]style)? (?:public |software )?licen[cs]e", ("licen",)),
             Rule(label, first, 4, rf"(?i)\b{short}(?![\w.-])" if numbered else rf"(?i)licen[cs]e\W{{1,3}}{short}(?![\w.-])", tuple(more) if numbered else ("licen", *more)),
         ]
     return out
