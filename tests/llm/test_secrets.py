@@ -1,7 +1,10 @@
 import hashlib
 import re
+import time
 
-from waymark.llm.secrets import KINDS, find_secrets
+import duckdb
+
+from waymark.llm.secrets import KINDS, SCOPE, SQL, find_secrets, query
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 WEAK = {
@@ -17,13 +20,11 @@ def brute(text):
     base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
     weak = [(m.start(), k, m.end()) for k, (rx, ok) in WEAK.items() for m in rx.finditer(t) if ok(m)]
-    linked = []
-    for w in weak:
-        for scope in (w[0] // 200, w[0] // 200 - 1):
-            kinds = {p[1] for p in base + weak if scope * 200 <= p[0] < scope * 200 + 400}
-            if kinds & {1, 3} and kinds & {0, 2, 4}:
-                linked.append(w)
-                break
+
+    def near(w, kinds):
+        return any(p[1] in kinds and p[0] <= w[2] + SCOPE and p[2] >= w[0] - SCOPE for p in base + weak)
+
+    linked = [w for w in weak if near(w, {1, 3}) and near(w, {0, 2, 4})]
     return sorted(base), sorted(linked)
 
 
@@ -41,6 +42,9 @@ TEXTS = [
     f"{OPAQUE} alone",
     "user_name: joe " + "🙂" * 150 + " secret='0123456789' at 1.2.3.4",
     "token = 'abc' token = 'abcdefgh'" + " pad" * 30_000 + " login=me token=abcdefghi",
+    f"client_id=abc {'y' * (SCOPE - 2)} {OPAQUE}",
+    f"client_id=abc {'y' * (SCOPE - 1)} {OPAQUE}",
+    f"token={'Zq9' * 500} client_id=abc http://late.example.com",
     "ſecret=abcdefghij toKen=abcdefghij",
 ]
 
@@ -54,11 +58,35 @@ def test_spans_against_brute_force(spark):
 
 
 def test_digests(spark, tmp_path):
-    from waymark.llm.secrets import query
-
     spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     for r in query(spark, str(tmp_path)).collect():
         base, linked = brute(TEXTS[r["doc_id"]])
         said = [",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in x) for x in (base, sorted(base + linked))]
         assert r["base_sha256"] == hashlib.sha256(said[0].encode()).hexdigest() and r["spans"] == said[1]
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[1] == k for s in base) for k in range(3))
+
+
+def test_links_do_not_depend_on_the_place(spark):
+    """What stands ahead of a credential, far enough away, changes nothing; nor does the length of its parts."""
+    body = f"client_id=abc{' x' * 140} {OPAQUE} and 10.0.0.1"
+    rows = [(n, "." * n + body) for n in (0, 1, 50, 100, 150, 199, 200, 399, 400, 12345)]
+    for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert [(s - r["id"], k, e - r["id"]) for s, k, e in r["linked"]] == brute(body)[1] and len(r["linked"]) == 3
+
+
+def test_many_matches_in_one_text(spark):
+    """Half a million matches in one text of 10 MB; a fold that copies what it has would take hours."""
+    n = 500_000
+    frame = spark.createDataFrame([(1, "token=abcdefgh\n" * n)], "doc_id long, text string")
+    began = time.monotonic()
+    got = find_secrets(frame).selectExpr("size(base) n", "base[499999].end last", "size(linked) m").first()
+    assert tuple(got) == (n, 15 * n - 1, 0) and time.monotonic() - began < 120
+
+
+def test_against_sql(spark, tmp_path):
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = db.sql(SQL)
+    names = [c[0] for c in found.description]
+    assert sorted(found.fetchall()) == sorted(tuple(r[c] for c in names) for r in query(spark, str(tmp_path)).collect())

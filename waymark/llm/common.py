@@ -104,6 +104,21 @@ def marked(rows: DataFrame, bits_set: DataFrame, at: Column) -> DataFrame:
     return joined.withColumn("__wm_byte", byte).withColumn("__wm_may", F.coalesce(bit == 1, F.lit(False))).drop("__wm_slot", "__wm_b", "__wm_map", "__wm_byte")
 
 
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Of an array, at each place the join (associative) of all elements up to it.
+
+    By doubling: a pass over the array for each power of two below its size, so n elements cost n log n joins. (A fold that
+    appends to an array copies it for each element.)"""
+    n = F.size(values)
+    steps = F.when(n > 1, F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def double(a: Column, k: Column) -> Column:
+        gap = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(a, lambda x, i: F.when(i >= gap, join(F.get(a, i - gap), x)).otherwise(x))
+
+    return F.aggregate(steps, values, double)
+
+
 #: Rows of a stored table up to which it is broadcast (a few hundred bytes each).
 FEW = 50_000
 
