@@ -28,3 +28,21 @@ def test_one_row_of_each_text_stays(spark):
         assert kept.columns == frame.columns
         assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["2", "4", "7", "6", "8", "None", "9", "10"])
     assert drop_exact_duplicates(frame.limit(0)).count() == 0 and duplicate_groups(frame.limit(0)).count() == 0
+
+
+def test_any_columns_pass(spark):
+    """Maps, and names that the operator might use itself."""
+    frame = spark.createDataFrame([(i % 3, "same" if i % 2 else "other", {"k": i}, i, "x", True, b"b") for i in range(12)], "doc_id long, text string, m map<string,int>, __wm_map int, row string, may boolean, bits binary")
+    kept = drop_exact_duplicates(frame)
+    assert kept.columns == frame.columns and kept.count() == 2
+    assert [sorted(map(str, drop_exact_duplicates(frame).collect())) for _ in range(2)] == [sorted(map(str, kept.collect()))] * 2
+
+
+def test_a_group_of_most_rows_is_divided(spark):
+    """Two thirds of the rows have one text: the join deals them over several parts."""
+    n = 3000
+    frame = spark.range(n).selectExpr("id doc_id", "if(id % 3 = 0, cast(id as string), 'the same') text")
+    got = duplicate_groups(frame, hash_all=True)
+    rows = got.collect()
+    assert sum(r["kept"] for r in rows) == n // 3 + 1 and {(r["keep_id"], r["group_size"]) for r in rows if r["id"] % 3} == {(n - 1, 2 * n // 3)}
+    assert "part#" in got._jdf.queryExecution().executedPlan().toString()

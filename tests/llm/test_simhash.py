@@ -115,3 +115,19 @@ def test_a_component_without_ids(spark):
     frame = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (None, "other words here now")], "doc_id long, text string")
     assert [r["component"] for r in near_duplicates(frame).collect()] == [None] * 3
     assert drop_near_duplicates(frame).count() == 2
+
+
+def test_groups_of_most_rows(spark):
+    """Copies of one text, and texts that differ from it a little, are two thirds of the rows; further columns may have any name and type."""
+    n, base = 1800, [f"w{i}" for i in range(3000)]
+    same, close = " ".join(base), [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in range(0, 3000, 10)]
+    rows = [(i, same if i % 3 else close[i // 3 % len(close)] if i % 6 else f"alone {i} " * 5) for i in range(n)]
+    frame = spark.createDataFrame([(*r, {"k": 1}, 0, "x") for r in rows], "doc_id long, text string, m map<string,int>, may int, row string")
+    smallest, prints = {}, {t: brute_print(t) for _, t in rows}
+    for group in components(sorted(set(prints.values()))):
+        smallest |= dict.fromkeys(group, min(i for i, t in rows if prints[t] in group))
+    found = near_duplicates(frame)
+    assert {r["id"]: r["component"] for r in found.collect()} == {i: smallest[prints[t]] for i, t in rows}
+    kept = drop_near_duplicates(frame)
+    assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(smallest.values()))
+    assert "part#" in found._jdf.queryExecution().executedPlan().toString()

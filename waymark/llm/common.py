@@ -12,6 +12,7 @@ from functools import wraps
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,21 +20,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which every executor and the driver can reach. Only where none is set (a session on one
-    machine, as in tests) a temporary folder is made and set."""
+    """The folder of spark.checkpoint.dir, which every executor and the driver can reach. Where none is set a temporary folder is
+    made if all run on one machine (as in tests); on a cluster that is an error."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-"))
         found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: its lineage ends there, and a lost executor loses none of it."""
+    """The frame as a Parquet table in the shared folder: its lineage ends there, and a lost executor loses none of it. The table
+    stays until `discard` or until the caller clears the folder, as a result that is read later may depend on it."""
     path = f"{shared_dir(df.sparkSession)}/waymark-{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.waymark_path = path
+    return found
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes the table of a frame that `stored` gave, once nothing depends on it."""
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.waymark_path)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: What operators remember in a worker from task to task, by owner: how to forget it.
@@ -95,13 +108,14 @@ def bitmap(slots: DataFrame) -> DataFrame:
 
 
 def marked(rows: DataFrame, bits_set: DataFrame, at: Column) -> DataFrame:
-    """Adds __wm_may: whether the bit at `at` is set, so that the key may be one of those in the bitmap. No shuffle."""
-    named = bits_set.select(F.col("b").alias("__wm_b"), F.col("map").alias("__wm_map"))
-    joined = rows.withColumn("__wm_slot", at).join(F.broadcast(named), F.bitmap_bucket_number("__wm_slot") == F.col("__wm_b"), "left")
-    place = F.bitmap_bit_position("__wm_slot")
-    byte = F.conv(F.hex(F.substring("__wm_map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(__wm_byte, cast(bitmap_bit_position(__wm_slot) % 8 as int)) & 1")
-    return joined.withColumn("__wm_byte", byte).withColumn("__wm_may", F.coalesce(bit == 1, F.lit(False))).drop("__wm_slot", "__wm_b", "__wm_map", "__wm_byte")
+    """Adds `may`: whether the bit at `at` is set, so that the key may be one of those in the bitmap. No shuffle. Rows have no columns
+    named may, slot, bucket or bits."""
+    named = bits_set.select(F.col("b").alias("bucket"), F.col("map").alias("bits"))
+    joined = rows.withColumn("slot", at).join(F.broadcast(named), F.bitmap_bucket_number("slot") == F.col("bucket"), "left")
+    place = F.bitmap_bit_position("slot")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1))
+    return joined.withColumn("may", F.coalesce(bit == 1, F.lit(False))).drop("slot", "bucket", "bits")
 
 
 def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
@@ -128,6 +142,39 @@ def small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.limit(FEW + 1).count() <= FEW else table
 
 
+#: A key with no more rows than this is never divided.
+LIGHT = 200
+
+
+def even_join(rows: DataFrame, unique: DataFrame, key: str, counts: DataFrame, salt: Column, how: str = "left") -> DataFrame:
+    """`rows` joined with `unique`, which has one row a key, where one key may have any share of the rows.
+
+    counts: (key, n), how many rows a key has; only keys that have many need be in it. Keys with more than a `FEW`-th of
+    all rows counted (fewer than `FEW` keys, which bounds what is broadcast) are divided: their rows are dealt over parts by the
+    hash of `salt`, and their unique row is copied to each part. No part has more than about max(LIGHT, rows / FEW) rows,
+    and no adaptive rule is needed. Rows of a null key find nothing."""
+    many = stored(counts.select(F.col(key).alias("heavy_key"), "n").filter(F.col("n") > LIGHT), "heavy")
+    total, most = many.agg(F.sum("n"), F.max("n")).first()
+    part = max(LIGHT, (total or 0) // FEW)
+    if not most or most <= part:
+        return rows.join(unique, key, how)
+    heavy = F.broadcast(many.filter(F.col("n") > part).select("heavy_key", F.ceil(F.col("n") / part).cast("int").alias("parts")))
+    dealt = rows.join(heavy, rows[key] == F.col("heavy_key"), "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(salt), F.col("parts")).cast("int"), F.lit(0)))
+    copied = unique.join(heavy, unique[key] == F.col("heavy_key"), "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)))))
+    return dealt.drop("heavy_key", "parts").join(copied.drop("heavy_key", "parts"), [key, "part"], how).drop("part")
+
+
+def hashable(df: DataFrame) -> list[Column]:
+    """All columns in a form that can be hashed: those that hold a map as JSON text."""
+
+    def has_map(kind: DataType) -> bool:
+        if isinstance(kind, StructType):
+            return any(has_map(f.dataType) for f in kind.fields)
+        return isinstance(kind, MapType) or isinstance(kind, ArrayType) and has_map(kind.elementType)
+
+    return [F.to_json(F.struct(c)) if has_map(f.dataType) else c for c, f in zip(columns_of(df), df.schema.fields, strict=True)]
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """All columns by exact name, dots included."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -6,8 +6,9 @@ the corpus; the second pass hashes the full content of those rows only whose bit
 costs a needless hash and changes no result: full hashes decide.
 
 Nulls count as the empty text. Ties: of rows with equal text and equal largest id, one stays. A null id is smaller than
-any other. Repeated rows count in the group's size. An empty table gives an empty result. Only the named columns are
-read; further columns, whatever their names, pass through `drop_exact_duplicates` unchanged.
+any other. Repeated rows count in the group's size. An empty table gives an empty result. Very long texts are hashed
+whole. `duplicate_groups` reads the named columns only; `drop_exact_duplicates` passes all columns on, whatever their names
+and types (rows with one id and text are told apart by a hash of all columns).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import BITS, bitmap, columns_of, documents, marked, slot
+from waymark.llm.common import BITS, bitmap, columns_of, documents, even_join, hashable, marked, slot, stored
 
 PREFIX_CHARS = 64
 
@@ -49,14 +50,15 @@ def duplicate_groups(
     hashed = may.select(
         "id",
         F.monotonically_increasing_id().alias("place"),
-        F.col("__wm_may").alias("may"),
-        (full if hash_all else F.when(F.col("__wm_may"), full)).alias("full_hash"),
+        "may",
+        (full if hash_all else F.when(F.col("may"), full)).alias("full_hash"),
         # a row without a copy needs no partner: a key of its own spreads such rows over all tasks
         (F.lit("") if hash_all else F.concat(F.lit("-"), F.xxhash64("t").cast("string"))).alias("own"),
     ).withColumn("key", F.coalesce("full_hash", "own"))
     rank = F.struct(F.col("id").isNotNull().alias("known"), "id", "place")
-    groups = hashed.filter("may").groupBy(F.col("full_hash").alias("gkey")).agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("top")).filter("n > 1")
-    return hashed.join(groups, F.col("key") == F.col("gkey"), "left").select(
+    groups = stored(hashed.filter("may").groupBy(F.col("full_hash").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("top")).filter("n > 1"), "groups")
+    # a group may have any share of the rows
+    return even_join(hashed, groups, "key", groups, F.struct("id", "place")).select(
         "id",
         F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("top.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
@@ -68,13 +70,11 @@ def duplicate_groups(
 def drop_exact_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", prefix_chars: int = PREFIX_CHARS, bits: int = BITS) -> DataFrame:
     """The rows that stay, with all their columns. Rows that can have no copy aren't shuffled; of the others one row a
     text is kept by an aggregate that combines before the shuffle, so a group of any size costs a row for each task."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    may = marked(df, candidate_bitmap(df.select(body.alias("t")), prefix_chars, bits), _group_slot(body, prefix_chars, bits))
-    alone = may.filter(~F.col("__wm_may")).drop("__wm_may")
-    whole = F.struct(*columns_of(df))
-    rank = F.struct(F.col(id_col).isNotNull(), F.col(id_col), F.xxhash64(*columns_of(df)))
-    one = may.filter("__wm_may").groupBy(F.sha2(body, 256).alias("__wm_key")).agg(F.max_by(whole, rank).alias("__wm_row"))
-    return alone.unionByName(one.select("__wm_row.*"))
+    rank = F.struct(F.col(id_col).isNotNull(), F.col(id_col), F.xxhash64(*hashable(df)))
+    rows = df.select(F.struct(*columns_of(df)).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"), rank.alias("rank"))
+    may = marked(rows, candidate_bitmap(df.select(F.coalesce(F.col(text), F.lit("")).alias("t")), prefix_chars, bits), _group_slot(F.col("t"), prefix_chars, bits))
+    one = may.filter("may").groupBy(F.sha2("t", 256).alias("key")).agg(F.max_by("row", "rank").alias("row"))
+    return may.filter("not may").select("row.*").unionByName(one.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

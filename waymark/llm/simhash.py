@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import bitmap, columns_of, documents, mapped, marked, slot, stored
+from waymark.llm.common import bitmap, columns_of, documents, even_join, mapped, marked, slot, stored
 from waymark.llm.components import connected_components
 
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -188,7 +188,9 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
         if held:
             yield from out(*map(np.concatenate, zip(*held, strict=True)))
 
-    keyed = prints.select("print").transform(mapped, key_rows, "key int, print long")
+    # a row becomes 85: rows are spread first, as a table of few bytes is read by few tasks
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.select("print").repartition(parts, "print").transform(mapped, key_rows, "key int, print long")
     found = keyed.repartition("key").sortWithinPartitions("key").transform(mapped, link_rows, "u long, v long")
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
@@ -196,12 +198,13 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
 def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 4, distance: int = 4) -> DataFrame:
     """A row per row: id, print, body and component, the smallest id reachable by links."""
     prints = stored(fingerprints(df, text, id_col, words), "prints")
-    least = prints.groupBy("print").agg(F.min("id").alias("least"))
+    least = stored(prints.groupBy("print").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = connected_components(near_links(least, distance))
-    rooted = least.join(roots, least["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    of_root = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.select("print", "root").join(of_root, "root").select("print", "component", "root")
-    return prints.join(named, "print").select("id", "print", "body", "component", "root")
+    rooted = stored(least.join(roots, least["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
+    # fingerprints linked to others; each of the rest is a component
+    linked = stored(rooted.groupBy("root").agg(F.min("least").alias("component"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "roots")
+    named = even_join(rooted, linked.select("root", "component"), "root", linked, F.col("print")).select("print", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"), "root")
+    return even_join(prints, named, "print", least, F.struct("id", "body"), "inner").select("id", "print", "body", "component", "root")
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 4, distance: int = 4) -> DataFrame:
@@ -210,20 +213,16 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_i
     Rows to drop are marked in a bitmap of fixed size; only rows that it may mean are shuffled and looked up."""
     found = stored(near_duplicates(df, text, id_col, words, distance), "near")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "body")
-    one = found.groupBy("root").agg(F.min(order).alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = found.join(one, "root").select("id", "body", ((F.col("top.id").eqNullSafe(F.col("id"))) & (F.col("top.body") == F.col("body"))).alias("stays"))
-    counts = rows.groupBy("id", "body").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1")
-    counts = stored(counts, "drop")
-    key = (F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    may = marked(df, bitmap(counts.select(slot(F.col("id"), F.col("body")).alias("s"))), slot(*key))
-    untouched = may.filter(~F.col("__wm_may")).drop("__wm_may")
-    maybe = may.filter("__wm_may").withColumn("__wm_body", key[1])
-    listed = counts.select(F.col("id").alias("__wm_id"), F.col("body").alias("__wm_b2"), F.col("stays").alias("__wm_stays"))
-    joined = maybe.join(listed, key[0].eqNullSafe(F.col("__wm_id")) & (F.col("__wm_body") == F.col("__wm_b2")), "left")
-    whole = F.struct(*columns_of(df))
-    free = joined.filter("__wm_stays is null").select(*columns_of(df))
-    once = joined.filter("__wm_stays").groupBy("__wm_id", "__wm_body").agg(F.first(whole).alias("__wm_row")).select("__wm_row.*")
-    return untouched.unionByName(free).unionByName(once)
+    one = stored(found.groupBy("root").agg(F.min(order).alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "tops")
+    rows = even_join(found, one.select("root", "top"), "root", one, F.struct("id", "body"), "inner").select("id", "body", ((F.col("top.id").eqNullSafe(F.col("id"))) & (F.col("top.body") == F.col("body"))).alias("stays"))
+    # rows that go, and those that stay but are repeated
+    listed = rows.groupBy("id", "body").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1")
+    listed = stored(listed.select(F.col("id").alias("known_id"), F.col("body").alias("known_body"), "stays"), "drop")
+    keyed = df.select(F.struct(*columns_of(df)).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"))
+    may = marked(keyed, bitmap(listed.select(slot(F.col("known_id"), F.col("known_body")).alias("s"))), slot(F.col("id"), F.col("body")))
+    joined = may.filter("may").join(listed, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("body") == F.col("known_body")), "left")
+    once = joined.filter("stays").groupBy("id", "body").agg(F.first("row").alias("row"))
+    return may.filter("not may").select("row.*").unionByName(joined.filter("stays is null").select("row.*")).unionByName(once.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
