@@ -3,21 +3,28 @@
 `sequences` parses each page into an array of items: runs of text between block elements, and references to media
 (img, video, audio, source, embed, object). An item has its position; a reference also its caption, the figcaption of its
 figure or else its alt or title text. `resolve` joins references of the form sha256:<digest> with a media table on the
-digest and puts every item back in its place, found or not; captions stay with their references.
+digest and puts what it finds, payloads or other columns, in the item's place; captions stay with their references.
 
-`media_store` writes payloads as 8-bit greyscale PNG, 64 samples a row, without loss: a payload is padded with zero bytes to
-a positive multiple of 64, and the unpadded length stands in a text chunk. The digest is that of the stored form. `read_back`
-decodes stored forms (checksums are verified) and gives features of the samples.
+`media_store` cuts a document's bytes into segments (between characters, of at most `segment` bytes) and writes each as an
+8-bit greyscale PNG, 64 samples a row, without loss: a segment is padded with zero bytes to a positive multiple of 64, and its
+unpadded length stands in a text chunk. The digest is that of the stored form. `illustrated` gives the document's page: for each
+segment its text and a figure that refers to the stored form. `read_back` decodes stored forms (checksums are verified) and
+gives their facts; `assembled` does so for the media of a page, put together in the order of its items.
+
+A document of one segment needs no more than its medium's facts, which are read where the medium lies: then only facts
+are joined with references by digest. Of longer documents the payloads themselves are joined, each medium once for each
+reference, and brought together by page. One digest may be referred to from any share of the pages (`even_join`).
 
 Null text or HTML counts as empty: an empty payload is one row of zeros, an empty page has no items. Broken or nested
-markup is read as far as it goes; scripts and styles are no text. Unknown digests resolve to null. Repeated rows each get
-their row, equal texts equal values; null ids stay. Very long texts become tall images. Empty tables give empty
-results. Only the named columns are read.
+markup is read as far as it goes; scripts and styles are no text. Unknown digests resolve to null. Pages are told apart by row, so
+repeated rows each get their row and ids may be null or repeated; equal texts have equal values. Of media with one digest any one is
+taken, as they are equal. Very long texts become many images. Empty tables give empty results. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import html as markup
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,9 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import documents, mapped, stored
+from waymark.llm.common import columns_of, documents, even_join, mapped, stored
 
 ROW = 64
+#: Bytes of a segment at most.
+SEGMENT = 32768
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 ITEM = "struct<pos:int,kind:string,text:string,ref:string,caption:string>"
 MEDIA = {"img", "video", "audio", "source", "embed", "object"}
@@ -69,19 +78,50 @@ def decode(media: bytes) -> tuple[np.ndarray, int]:
     return samples[:, 1:].ravel(), int(chunks[b"tEXt"].partition(b"\0")[2])
 
 
-def media_store(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, digest, media) for every row, stored in the shared folder."""
+def segments(payload: bytes, most: int = SEGMENT) -> list[bytes]:
+    """UTF-8 bytes in pieces of at most `most` bytes (4 at least), cut between characters; the empty payload is one piece."""
+    out, at = [], 0
+    while len(payload) - at > most:
+        end = at + most
+        while payload[end] & 0xC0 == 0x80 and end > at + most - 4:
+            end -= 1
+        out.append(payload[at:end])
+        at = end
+    return [*out, payload[at:]]
+
+
+def _bodies(batch: pa.RecordBatch) -> Iterator[bytes]:
+    for x in batch.column(batch.num_columns - 1).cast(pa.binary()):
+        yield x.as_buffer().to_pybytes() if x.is_valid else b""
+
+
+def media_store(df: DataFrame, text: str = "text", segment: int = SEGMENT) -> DataFrame:
+    """(digest, media) for every segment of every row, stored in the shared folder."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                media = [encode(part) for body in _bodies(batch.slice(at, 1000)) for part in segments(body, segment)]
+                yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array(media, pa.binary())], names=["digest", "media"])
+
+    return stored(df.selectExpr(f"`{text}` text").transform(mapped, run, "digest string, media binary"), "media")
+
+
+def illustrated(df: DataFrame, text: str = "text", id_col: str = "doc_id", segment: int = SEGMENT) -> DataFrame:
+    """(id, html): every row as a page of its segments, each as text and as a figure of its stored form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 some = batch.slice(at, 1000)
-                media = [encode(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in some.column(1).cast(pa.binary())]
-                digests = [hashlib.sha256(m).hexdigest() for m in media]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(digests), pa.array(media, pa.binary())], names=["id", "digest", "media"])
+                pages = []
+                for body in _bodies(some):
+                    parts = segments(body, segment)
+                    shown = [f'<p>{markup.escape(x.decode(errors='replace'), quote=False)}</p><figure><img src="sha256:{hashlib.sha256(encode(x)).hexdigest()}"><figcaption>part {k + 1} of {len(parts)}</figcaption></figure>' for k, x in enumerate(parts)]
+                    pages.append("<article>" + "".join(shown) + "</article>")
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(pages, pa.string())], names=["id", "html"])
 
-    rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text")
-    return stored(rows.transform(mapped, run, "id long, digest string, media binary"), "media")
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, "id long, html string")
 
 
 def feature(samples: np.ndarray) -> str:
@@ -95,24 +135,52 @@ def feature(samples: np.ndarray) -> str:
     return f"{mean:.4f}|{spread**0.5:.4f}|{entropy:.4f}|{bins}"
 
 
+FACTS = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+
+
+def _facts(forms: list[bytes]) -> tuple:
+    """What the stored forms of one payload hold, read back in order."""
+    read = [decode(f) for f in forms]
+    payload = b"".join(samples[:n].tobytes() for samples, n in read)
+    size = len(payload)
+    payload = payload.ljust(max(1, -(-size // ROW)) * ROW, b"\0")
+    whole = hashlib.sha256(b"".join(forms)).hexdigest()
+    return size, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), sum(map(len, forms)), whole, feature(np.frombuffer(payload, np.uint8))
+
+
+def _fact_arrays(rows: list[tuple]) -> list[pa.Array]:
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+    return [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+
+
+_FACT_NAMES = [f.split()[0] for f in FACTS.split(", ")]
+
+
 def read_back(media: DataFrame) -> DataFrame:
-    """(digest, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, feature) of each stored form (digest, media)."""
+    """(digest, and FACTS) of each stored form (digest, media), read where it lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_facts([m.as_buffer().to_pybytes()]) for m in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_fact_arrays(rows)], names=["digest", *_FACT_NAMES])
+
+    return media.select("digest", "media").transform(mapped, run, f"digest string, {FACTS}")
+
+
+def assembled(resolved: DataFrame) -> DataFrame:
+    """(id, and FACTS) of each page of (id, items with media): its media, in the order of its items, as one payload. Null facts
+    where a medium is missing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["digest", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "feature"]
         for batch in batches:
-            rows = []
-            for digest, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                form = value.as_buffer().to_pybytes()
-                samples, n = decode(form)
-                payload = samples.tobytes()
-                rows.append((digest, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), len(form), feature(samples)))
-            if rows:
-                kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+            for at in range(len(batch)):  # a page may be long
+                forms = batch.column(1)[at].values
+                facts = _facts([m.as_buffer().to_pybytes() for m in forms]) if not forms.null_count else (None,) * len(_FACT_NAMES)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), *_fact_arrays([facts])], names=["id", *_FACT_NAMES])
 
-    schema = "digest string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, feature string"
-    return media.select("digest", "media").transform(mapped, run, schema)
+    ordered = F.array_sort(F.transform(F.filter("items", lambda x: x["kind"] == "media"), lambda x: F.struct(x["pos"].alias("pos"), x["media"].alias("media"))))
+    return resolved.select("id", F.transform(ordered, lambda x: x["media"]).alias("media")).transform(mapped, run, f"id long, {FACTS}")
 
 
 class _Page(HTMLParser):
@@ -201,31 +269,59 @@ def digest_of(ref: Column) -> Column:
     return F.when(F.startswith(ref, F.lit("sha256:")), F.substring(ref, 8, 64))
 
 
-def resolved_references(pages: DataFrame, media: DataFrame) -> DataFrame:
-    """(id, pos, ref, caption, and the media table's columns): a row for each media item of (id, items).
+def references(pages: DataFrame) -> DataFrame:
+    """(row, id, pos, ref, caption, digest): a row for each media item of (row, id, items); digest is null where the reference has none."""
+    items = pages.select("row", "id", F.explode("items").alias("x")).filter("x.kind = 'media'")
+    return items.select("row", "id", F.col("x.pos").alias("pos"), F.col("x.ref").alias("ref"), F.col("x.caption").alias("caption"), digest_of(F.col("x.ref")).alias("digest"))
+
+
+def resolved_references(refs: DataFrame, media: DataFrame) -> DataFrame:
+    """The stored references with the media table's columns (one row a digest), null where there is none."""
+    counts = refs.filter("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    # references without a digest find nothing: a key of their own spreads them
+    keyed = refs.withColumn("digest", F.coalesce("digest", F.concat(F.lit("-"), F.xxhash64("row", "pos").cast("string"))))
+    found = even_join(keyed, media, "digest", counts, F.struct("row", "pos"))
+    return found.withColumn("digest", F.when(~F.startswith("digest", F.lit("-")), F.col("digest")))
+
 
-    media: one row per digest. The larger side's equal digests may be a third of all rows: a skewed partition of the
-    references is split by the adaptive join, as each row needs one partner only."""
-    items = pages.select("id", F.explode("items").alias("x")).filter("x.kind = 'media'")
-    refs = items.select("id", F.col("x.pos").alias("pos"), F.col("x.ref").alias("ref"), F.col("x.caption").alias("caption"))
-    # references without a digest find nothing: a key of their own each
-    key = F.coalesce(digest_of(F.col("ref")), F.concat(F.lit("-"), F.xxhash64("id", "pos", "ref").cast("string")))
-    return refs.join(media, key == media["digest"], "left")
+def numbered(df: DataFrame) -> DataFrame:
+    """Rows with a number of their own (`row`). df is read from storage, with Python at most, so its rows have the same number each time."""
+    return df.select(F.monotonically_increasing_id().alias("row"), *columns_of(df))
 
 
 def resolve(pages: DataFrame, media: DataFrame) -> DataFrame:
-    """(id, items) with each item's payload column `media` (null where there is none), in the order of the page. Ids of pages must differ."""
-    found = resolved_references(pages, media.select("digest", "media")).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "media"))).alias("m"))
-    joined = pages.withColumnRenamed("id", "page").join(found, F.col("page").eqNullSafe(F.col("id")), "left")
-    return joined.select(F.col("page").alias("id"), F.transform("items", lambda x: x.withField("media", F.try_element_at("m", x["pos"]))).alias("items"))
-
-
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op3: every document as a page whose figure is its stored text, resolved by digest, with what is read back from it."""
-    store = media_store(documents(spark, sf_dir))
-    html = F.concat(F.lit('<article><h1>document</h1><figure><img src="sha256:'), "digest", F.lit('"><figcaption>text '), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit("</figcaption></figure></article>"))
-    pages = sequences(store.select("id", html.alias("html")), id_col="id")
-    media = read_back(store).dropDuplicates(["digest"])
-    return resolved_references(pages, media).select(
-        F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", F.col("digest").alias("media_sha256"), "feature", "pos", "caption"
-    )
+    """(id, items) with the media table's columns other than digest in each item (null where there are none), in the order of the page."""
+    known = media.dropDuplicates(["digest"])
+    extra = [c for c in media.columns if c != "digest"]
+    rows = stored(numbered(pages.select("id", "items")), "pages")
+    found = resolved_references(stored(references(rows), "references"), known)
+    by_page = found.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.struct(*extra)))).alias("found"))
+
+    def with_found(x: Column) -> Column:
+        at = F.try_element_at("found", x["pos"])
+        for c in extra:
+            x = x.withField(c, at[c])
+        return x
+
+    return rows.join(by_page, "row", "left").select("id", F.transform("items", with_found).alias("items"))
+
+
+def query(spark: SparkSession, sf_dir: str, segment: int = SEGMENT) -> DataFrame:
+    """op3: every document as a page of its segments, with what is read back from the media that the page's references resolve to."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    long = F.coalesce(F.octet_length("text"), F.lit(0)) > segment
+
+    def pages(rows: DataFrame) -> DataFrame:
+        return sequences(illustrated(rows, segment=segment), id_col="id")
+
+    short = docs.filter(~long)
+    facts = read_back(media_store(short, segment=segment)).dropDuplicates(["digest"])
+    refs = stored(references(numbered(pages(short))), "references")
+    one = resolved_references(refs, facts).select("id", *_FACT_NAMES, F.lit(1).alias("parts"), F.col("caption").alias("captions"))
+    # only longer documents need their payloads in one place
+    longer = resolve(pages(docs.filter(long)), media_store(docs.filter(long), segment=segment))
+    longer = stored(longer.select(F.monotonically_increasing_id().alias("id"), F.col("id").alias("doc"), "items"), "resolved")
+    captions = F.transform(F.filter("items", lambda x: x["kind"] == "media"), lambda x: x["caption"])
+    named = longer.select("id", "doc", F.size(captions).alias("parts"), F.array_join(captions, ", ").alias("captions"))
+    several = assembled(longer).join(named, "id").select(F.col("doc").alias("id"), *_FACT_NAMES, "parts", "captions")
+    return one.unionByName(several).withColumnRenamed("id", "doc_id")
