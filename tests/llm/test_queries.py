@@ -6,6 +6,7 @@ import re
 import duckdb
 import pytest
 
+import __spark_entry__ as entry_point
 from tests.test_queries import PATH, TABLES, rows
 from waymark.llm import catalog
 
@@ -14,7 +15,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(PATH), reason="no test tables"
 
 def test_one_query_for_each_operator():
     numbers = [int(m[1]) for n in catalog.QUERIES if (m := re.match(r"op(\d+)_\w+$", n))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in catalog.QUERIES
+    assert sorted(numbers) == list(range(1, 11))
+    assert set(catalog.QUERIES) | {"pipeline"} <= set(entry_point.queries()) and set(catalog.SQL) <= set(entry_point.oracle_sql())
     assert set(catalog.SQL) <= set(catalog.QUERIES)
 
 
@@ -31,7 +33,7 @@ def test_agrees_with_sql(spark, name):
     assert rows([r.asDict() for r in got.collect()], sorted(names)) == rows(expected, sorted(names))
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL) - {"pipeline"}))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
 def test_a_row_for_each_document(spark, name):
     got = catalog.QUERIES[name](spark, PATH)
     ids = sorted(r["doc_id"] for r in got.select("doc_id").distinct().collect())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from waymark.llm import ctw, exact_dedup, langid, licenses, media, mixing, packing, quality, secrets, simhash
 
 QUERIES = {
@@ -16,7 +15,6 @@ QUERIES = {
     "op8_licenses": licenses.query,
     "op9_ctw": ctw.query,
     "op10_exact_dedup": exact_dedup.query,
-    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
