@@ -129,3 +129,17 @@ def test_keyed_sink_is_idempotent(spark, tmp_path):
     for n in range(2, 6):
         sink(rows((9, str(n), None)), n)
     assert list(sink.versions(spark)) == [3, 4, 5]
+
+
+def test_keyed_sink_writes_touched_buckets_only(spark, tmp_path):
+    sink = tables.KeyedSink(str(tmp_path / "state"), "k", buckets=16, keep=2)
+    sink(spark.range(200).selectExpr("id k", "'a' v"), 0)
+    sink(spark.createDataFrame([(7, "b")], "k long, v string"), 1)
+    manifest = sink.manifest(spark, 1)
+    assert len(manifest) == 16 and list(manifest.values()).count(1) == 1
+    got = {r["k"]: r["v"] for r in sink.read(spark).collect()}
+    assert len(got) == 200 and got[7] == "b" and sum(v == "a" for v in got.values()) == 199
+    # a draft that was never renamed is no version, and rows of a failed write are overwritten
+    (tmp_path / "state" / "versions" / "_2").write_text("{")
+    sink(spark.createDataFrame([(500, "c")], "k long, v string"), 2)
+    assert list(sink.versions(spark)) == [1, 2] and sink.read(spark).count() == 201

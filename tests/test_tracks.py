@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pandas as pd
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import kalman
 from waymark.functions.kalman import Filter, States
-from waymark.operators import duplicates, tracks
+from waymark.operators import duplicates, spatial, tracks
 
 
 def loop(rows, q_of, v_of, q_default, principal=False, ci=False):
@@ -177,17 +178,28 @@ def vessel(track, shift_s, shift_m, n=40, env="SEA_SURFACE", speed=8.0, step=30.
 
 def test_duplicates(spark):
     rows = vessel("a", 0, 0) + vessel("b", 7, 60) + vessel("c", 3, 900) + vessel("d", 5, 30, env="AIR") + vessel("e", 2, 10, n=4) + vessel("f", 1e5, 0) + vessel("g", 0, -6000, speed=9.0)
-    found = duplicates.find(frame(spark, rows)).collect()
+    find = lambda *a, **k: duplicates.find(*a, now=F.lit(1e9 + 1300), **k)
+    found = find(frame(spark, rows)).collect()
     assert [(r["a"], r["b"]) for r in found] == [("a", "b")] and found[0]["points"] == 40 and 0.5 < found[0]["confidence"] <= 1
     assert found[0]["separation"] == pytest.approx(60, abs=15)
-    assert duplicates.find(frame(spark, rows), spark.createDataFrame([("b",)], "id string")).count() == 0
-    second = duplicates.find(frame(spark, rows), second_generation=True)
+    assert find(frame(spark, rows), spark.createDataFrame([("b",)], "id string")).count() == 0
+    second = find(frame(spark, rows), second_generation=True)
     assert second.count() <= 1
     entities = spark.createDataFrame([("a", False, "2024-01-02"), ("b", True, "2024-01-03")], "id string, confirmed boolean, created string")
-    done = duplicates.decide(duplicates.find(frame(spark, rows)), entities.withColumn("created", F.col("created").cast("timestamp"))).collect()
+    done = duplicates.decide(find(frame(spark, rows)), entities.withColumn("created", F.col("created").cast("timestamp"))).collect()
     assert [(r["objectId"], r["supersededBy"]) for r in done] == [("a", "b")]
 
 
+def test_look_back(spark):
+    """By the environment of a track's first measurement with one; what is older than its hours goes."""
+    now = 1e9
+    rows = [(name, now - hours * 3600, k, env if k else None, 1.0, 2.0, 3.0, *[math.nan] * 15) for name, env in (("a", "AIR"), ("s", "sea_surface"), ("o", "OTHER")) for k, hours in enumerate([3, 1.9, 0.4, 0.2])]
+    seen = lambda df: {name: sorted(r["seq"] for r in df.filter(F.col("track") == name).collect()) for name in "aso"}
+    assert seen(duplicates.within_look_back(frame(spark, rows), F.lit(now))) == {"a": [3], "s": [1, 2, 3], "o": [2, 3]}
+    assert seen(duplicates.within_look_back(frame(spark, rows))) == {"a": [2, 3], "s": [1, 2, 3], "o": [2, 3]}
+    assert duplicates.find(frame(spark, vessel("a", 0, 0) + vessel("b", 7, 60) + vessel("f", 1e5, 0))).count() == 0
+
+
 def test_candidates_against_all_pairs(spark):
     rng = np.random.default_rng(3)
     limits = {"UNKNOWN": duplicates.Limits(5.0, 3, 10, 5, 10, 3, 0.5, 500, 0, 1000, 600)}
@@ -213,6 +225,34 @@ def test_greedy_decisions(spark):
     assert duplicates.actions(duplicates.decide(pairs, entities)).filter("action = 'SUPERSEDE' and supersededBy is not null").count() == 4
 
 
+def test_decisions_in_rounds_are_greedy(spark):
+    """Random pairs that share entities, with equal confidences, against one sorted loop an environment."""
+    rng = np.random.default_rng(8)
+    pairs = {(f"e{a:02}", f"e{b:02}", env, float(c)) for a, b, env, c in zip(*rng.integers(0, 40, (2, 150)), rng.choice(["X", "Y"], 150), rng.choice([0.5, 0.6, 0.7, 0.8, 0.9], 150), strict=True) if a < b}
+    pairs = list({p[:3]: p for p in pairs}.values())
+    expected = set()
+    for env in "XY":
+        locked = set()
+        for a, b, _, c in sorted((p for p in pairs if p[2] == env), key=lambda p: (-p[3], p[1], p[0])):
+            if b not in locked:  # without times and marks the smaller id stays
+                locked |= {a, b}
+                expected.add((b, a, env, c))
+    none = spark.createDataFrame([], "id string, confirmed boolean, created timestamp")
+    got = duplicates.decide(spark.createDataFrame(pairs, "a string, b string, environment string, confidence double"), none)
+    assert set(map(tuple, got.collect())) == expected and len(expected) > 30
+
+
+def test_bracket_of_one_busy_key(spark):
+    """A million points and queries of one key."""
+    n = 500_000
+    points = spark.range(n).selectExpr("'k' k", "id * 2 t", "id v")
+    queries = spark.range(n).selectExpr("'k' k", "id * 2 + id % 2 t")
+    began = time.monotonic()
+    got = spatial.bracket(points, queries, "k", "t", ["v"])
+    bad = got.filter("before.v <> t div 2 or not (after.v <=> if(t div 2 + 1 < 500000, t div 2 + 1, null))").count()
+    assert bad == 0 and time.monotonic() - began < 90
+
+
 def test_principal_keys_and_associations(spark):
     rows = [("c1", "i1", "i1", "AIR", 1.0, 1), ("c2", "i2", "i1", "GROUND", 2.0, 2), ("c3", "i3", "i1", None, 3.0, 3), ("c4", "i4", "i1", "air", 4.0, 4), ("c5", "i5", "i5", None, 5.0, 5)]
     df = spark.createDataFrame(rows, "track string, item string, root string, environment string, t double, seq int")

@@ -14,6 +14,7 @@ from waymark.functions import kalman
 from waymark.functions.scalars import field
 from waymark.operators.spatial import overlapping, radius_pairs, spans
 from waymark.operators.tracks import POSITION_COV, _symmetric
+from waymark.sources.tables import stored
 
 #: Fixed value: hours of events looked at.
 LOOK_BACK_HOURS = {"AIR": 0.25, "GROUND": 2.0, "SEA_SURFACE": 2.0, "SEA_SUBSURFACE": 2.0, "UNKNOWN": 0.5}
@@ -52,6 +53,20 @@ def limits_for(environment: str | None, limits: dict[str, Limits] = LIMITS) -> L
     return limits.get((environment or "").upper(), limits["UNKNOWN"])
 
 
+def within_look_back(measured: DataFrame, now: Column | None = None, hours: dict[str, float] = LOOK_BACK_HOURS) -> DataFrame:
+    """Measurements no older than the hours of their track's environment, which is that of its first measurement with one; UNKNOWN
+    stands for any other. now: seconds; by default the time of the last measurement."""
+    if now is None:
+        now = F.lit(measured.agg(F.max("t")).first()[0]).cast("double")
+    known = F.when(F.trim("environment") != "", F.upper("environment"))
+    first = measured.groupBy(F.col("track").alias("__wm_track")).agg(F.min_by(known, F.when(known.isNotNull(), F.struct("t", "seq"))).alias("__wm_env"))
+    own = F.lit(float(hours["UNKNOWN"]))
+    for name, value in hours.items():
+        own = F.when(F.col("__wm_env") == name, F.lit(float(value))).otherwise(own)
+    joined = measured.join(first, F.col("track") == F.col("__wm_track"))
+    return joined.filter(F.col("t") >= now - own * 3600).drop("__wm_track", "__wm_env")
+
+
 def candidates(points: DataFrame, limits: dict[str, Limits] = LIMITS, per_environment: bool = False) -> DataFrame:
     """Pairs (a, b) of tracks that come near each other in space, at enough different times of each, while both exist.
 
@@ -75,7 +90,7 @@ def histories(measured: DataFrame, q: float = 1.0, second_generation: bool = Fal
     """A row per track with its smoothed states (columns of HISTORY). second_generation: the states as measured, for evaluation from the nearest."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        good = pdf[np.isfinite(pdf[["t", "x", "y", "z"]].to_numpy(float)).all(axis=1)]
+        good = pdf[np.isfinite(pdf[["t", "x", "y", "z"]].to_numpy(float)).all(axis=1)].sort_values(["t", "seq"], kind="stable")
         if not len(good):
             return pd.DataFrame(columns=[c.split()[0] for c in HISTORY.split(", ")])
         raw = good["t"].to_numpy(float)
@@ -193,9 +208,12 @@ def evaluate(pairs: DataFrame, tracks: DataFrame, limits: dict[str, Limits] = LI
     return _with_histories(pairs.select("a", "b"), tracks).mapInPandas(run, PAIR)
 
 
-def find(measured: DataFrame, protected: DataFrame | None = None, limits: dict[str, Limits] = LIMITS, q: float = 1.0, second_generation: bool = False) -> DataFrame:
-    """Duplicates among measurements (as `tracks.measurements` gives them), the surest first; protected: ids to leave alone."""
+def find(measured: DataFrame, protected: DataFrame | None = None, limits: dict[str, Limits] = LIMITS, q: float = 1.0, second_generation: bool = False, now: Column | None = None, look_back: dict[str, float] | None = LOOK_BACK_HOURS) -> DataFrame:
+    """Duplicates among measurements (as `tracks.measurements` gives them), the surest first; protected: ids to leave alone.
+
+    Only measurements within the look-back count (`within_look_back`; None: all do)."""
     rows = measured if protected is None else measured.join(protected.select(F.col(protected.columns[0]).alias("track")), "track", "left_anti")
+    rows = rows if look_back is None else within_look_back(rows, now, look_back)
     enough = rows.join(rows.groupBy("track").agg(F.count_distinct("t").alias("n")).filter(F.col("n") >= min(v.points for v in limits.values())).select("track"), "track", "left_semi")
     return evaluate(candidates(enough, limits), histories(enough, q, second_generation), limits, q).orderBy(F.desc("confidence"), "a", "b")
 
@@ -211,7 +229,9 @@ def decide(pairs: DataFrame, entities: DataFrame) -> DataFrame:
     """SUPERSEDE actions (objectId, supersededBy, environment, confidence): pairs in order of confidence; a pair whose loser took part in a
     surer one is passed over, and a confirmed entity never loses. entities: id, confirmed, created.
 
-    Pairs never cross environments, which are decided side by side."""
+    The order matters only among pairs that share an entity, so all pairs are decided in rounds: one that is the surest left of
+    its loser is accepted, and pairs that lose an entity of it are passed over if less sure. Each round decides at least the
+    surest pair of each cluster; where confidences aren't sorted along a chain of pairs the rounds grow with its logarithm."""
 
     def side(name: str) -> DataFrame:
         return entities.select(F.col("id").alias(name), F.col("confirmed").alias(f"c_{name}"), F.col("created").alias(f"t_{name}"))
@@ -220,16 +240,17 @@ def decide(pairs: DataFrame, entities: DataFrame) -> DataFrame:
     stays = survivor(F.col("a"), F.col("b"), F.col("c_a"), F.col("c_b"), F.col("t_a"), F.col("t_b"))
     rows = rows.filter(~(F.coalesce("c_a", F.lit(False)) & F.coalesce("c_b", F.lit(False)))).withColumn("stays", stays)
     rows = rows.select("environment", "confidence", "stays", F.when(F.col("stays") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("goes"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        locked, out = set(), []
-        for r in pdf.sort_values(["confidence", "goes", "stays"], ascending=[False, True, True]).itertuples(index=False):
-            if r.goes not in locked:
-                locked |= {r.goes, r.stays}
-                out.append((r.goes, r.stays, r.environment, r.confidence))
-        return pd.DataFrame(out, columns=["objectId", "supersededBy", "environment", "confidence"])
-
-    return rows.groupBy("environment").applyInPandas(run, "objectId string, supersededBy string, environment string, confidence double")
+    # smaller ranks are surer
+    left = stored(rows.withColumn("rank", F.struct((-F.col("confidence")).alias("c"), "goes", "stays")).distinct(), "pairs")
+    decided = left.limit(0)
+    same = ["environment", "goes"]
+    while left.limit(1).count():
+        touched = left.select("environment", F.explode(F.array("goes", "stays")).alias("goes"), "rank").groupBy(*same).agg(F.min("rank").alias("first"))
+        new = stored(left.join(touched, same).filter(F.col("rank") == F.col("first")).drop("first"), "accepted")
+        locked = new.select("environment", F.explode(F.array("goes", "stays")).alias("goes"), "rank").groupBy(*same).agg(F.min("rank").alias("lock"))
+        decided = decided.unionByName(new)
+        left = stored(left.join(locked, same, "left").filter(F.col("lock").isNull() | (F.col("rank") < F.col("lock"))).drop("lock"), "pairs")
+    return decided.select(F.col("goes").alias("objectId"), F.col("stays").alias("supersededBy"), "environment", "confidence")
 
 
 def actions(decided: DataFrame, action: str = "SUPERSEDE", source: str = "MANAGER") -> DataFrame:

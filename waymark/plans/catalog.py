@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.plans import entities, motion, upkeep  # noqa: F401  they register their queries
+from waymark.plans import edges, entities, motion, upkeep  # noqa: F401  they register their queries
 from waymark.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

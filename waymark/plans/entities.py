@@ -212,13 +212,14 @@ def last_rows(spark, folder):
 
 @query("""
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN 'patched' END AS note
-FROM orders WHERE o_orderkey < 9000
-UNION ALL SELECT o_orderkey, NULL, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 END, 'patched' FROM orders WHERE o_orderkey >= 9000 AND o_orderkey % 3 = 0
+FROM orders UNION ALL SELECT -1 - c_custkey, 'N', c_acctbal, 'new' FROM customer
 """)
 def patch_merge(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    patch = orders.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit(None).cast("string").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit("patched").alias("note"))
-    return merge.patched(orders.filter("o_orderkey < 9000"), patch, "o_orderkey")
+    third = F.col("o_orderkey") % 3 == 0
+    patch = orders.select("o_orderkey", F.lit(None).cast("string").alias("o_orderstatus"), F.when(third, F.col("o_totalprice") + 1).alias("o_totalprice"), F.when(third, "patched").alias("note"))
+    new = table(spark, folder, "customer").select((-1 - F.col("c_custkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.col("c_acctbal").alias("o_totalprice"), F.lit("new").alias("note"))
+    return merge.patched(orders, patch.unionByName(new), "o_orderkey")
 
 
 @query("""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
-from waymark.operators import duplicates, matching, spatial, tracks
+from waymark.operators import duplicates, matching, merge, spatial, tracks
+from waymark.plans import filter_sql
 from waymark.plans.registry import STAMP, query, stamp
 from waymark.sources.tables import stored, table
 from waymark.streaming import stateful
@@ -122,22 +123,26 @@ def radius_pairs(spark, folder):
     return got.select(F.col("a_vec_id").alias("a"), F.col("b_vec_id").alias("b"), F.round("distance", 6).alias("distance"))
 
 
-_SPANS = "s AS (SELECT user_id, min(ts) AS start, max(ts) AS finish FROM events WHERE event_type = 'error' AND value > 20 GROUP BY user_id HAVING count(*) > 1)"
+_SESSIONS = """
+g AS (SELECT *, sum(CASE WHEN epoch_us(ts) - coalesce(epoch_us(before), 0) > 7200000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS part
+  FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)),
+s AS (SELECT min(event_id) AS id, min(ts) AS start, max(ts) AS finish FROM g GROUP BY user_id, part)
+"""
 
 
-@query(f"WITH {_SPANS} SELECT a.user_id AS a, b.user_id AS b FROM s a JOIN s b ON a.user_id < b.user_id AND epoch_us(a.finish) + 7200000000 >= epoch_us(b.start) AND epoch_us(b.finish) + 7200000000 >= epoch_us(a.start)")
+@query(f"WITH {_SESSIONS} SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id < b.id AND epoch_us(a.finish) + 600000000 >= epoch_us(b.start) AND epoch_us(b.finish) + 600000000 >= epoch_us(a.start)")
 def overlapping_spans(spark, folder):
-    e = table(spark, folder, "events").filter("event_type = 'error' and value > 20")
-    s = spatial.spans(e, "user_id", "ts").join(e.groupBy("user_id").count().filter("count > 1").select("user_id"), "user_id")
-    return spatial.overlapping_spans(s, "user_id", 86400.0, 3600.0).select("a", "b")
+    """Sessions of all users (events no further apart than two hours) that overlap when extended by five minutes at both ends."""
+    parts = merge.segments(table(spark, folder, "events"), "user_id", "ts", 7200.0, "event_id")
+    s = parts.groupBy("user_id", "segment").agg(F.min("event_id").alias("id"), F.min("ts").alias("start"), F.max("ts").alias("end"))
+    return spatial.overlapping_spans(s.select("id", "start", "end"), "id", 3600.0, 300.0).select("a", "b")
 
 
 @query("""
-WITH e AS (SELECT * FROM events WHERE value > 20)
-SELECT a.event_id AS a, b.event_id AS b FROM e a JOIN e b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'click' AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 21600000000
+SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'click' AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 21600000000
 """)
 def time_aligned_pairs(spark, folder):
-    e = table(spark, folder, "events").filter("value > 20")
+    e = table(spark, folder, "events")
     got = spatial.time_aligned(e.filter("event_type = 'view'"), e.filter("event_type = 'click'"), "ts", 21600, ["user_id"])
     return got.select(F.col("a_event_id").alias("a"), F.col("b_event_id").alias("b"))
 
@@ -154,23 +159,23 @@ def bracketing_points(spark, folder):
     return got.join(q.select("user_id", "ts", "event_id"), ["user_id", "ts"]).select("event_id", F.col("before.event_id").alias("before"), F.col("after.event_id").alias("after"))
 
 
-@query("""
-WITH d AS (SELECT user_id, date_trunc('day', ts) AS day, avg(value) AS v, count(*) AS n FROM events WHERE user_id < 40 GROUP BY 1, 2),
-p AS (SELECT a.user_id AS a, b.user_id AS b, abs(a.v - b.v) AS d, a.v - b.v AS s, a.day FROM d a JOIN d b ON a.day = b.day AND a.user_id < b.user_id)
-SELECT a, b, count(DISTINCT day) AS days, round(avg(d) + 1e-9, 6) AS mean, round(median(d) + 1e-9, 6) AS median, round(stddev_pop(d) + 1e-9, 6) AS spread, round(abs(avg(s)) + 1e-9, 6) AS bias FROM p GROUP BY a, b HAVING count(DISTINCT day) >= 5
+_LOOSE = max(v.radius for v in duplicates.LIMITS.values())
+
+
+@query(f"""
+WITH p AS (SELECT c_custkey % 60 AS track, c_custkey::DOUBLE AS t, c_acctbal * 8 AS x, c_custkey % 97 * 400.0 AS y, c_nationkey * 300.0 AS z, ['AIR', 'GROUND', ''][c_custkey % 60 % 3 + 1] AS environment FROM customer)
+SELECT a.track AS a, b.track AS b FROM p a JOIN p b ON a.environment = b.environment AND a.track < b.track AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= {_LOOSE**2}
+GROUP BY a.track, b.track HAVING least(count(DISTINCT a.t), count(DISTINCT b.t)) >= {min(v.points for v in duplicates.LIMITS.values())}
 """)
-def pair_statistics(spark, folder):
-    """Mean, median and spread of the distance of pairs on a common daily grid."""
-    e = table(spark, folder, "events").filter("user_id < 40")
-    d = e.groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(F.avg("value").alias("v"))
-    a, b = d.alias("a"), d.alias("b")
-    p = a.join(b, (F.col("a.day") == F.col("b.day")) & (F.col("a.user_id") < F.col("b.user_id")))
-    p = p.select(F.col("a.user_id").alias("a"), F.col("b.user_id").alias("b"), F.col("a.day").alias("day"), (F.col("a.v") - F.col("b.v")).alias("s"))
-    g = p.groupBy("a", "b").agg(F.count_distinct("day").alias("days"), F.avg(F.abs("s")).alias("mean"), F.median(F.abs("s")).alias("median"), F.stddev_pop(F.abs("s")).alias("spread"), F.abs(F.avg("s")).alias("bias"))
-    return g.filter("days >= 5").select("a", "b", "days", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("mean", "median", "spread", "bias")])
+def candidate_pairs(spark, folder):
+    """Tracks that come near each other at enough different times of each."""
+    c = table(spark, folder, "customer")
+    track = F.col("c_custkey") % 60
+    points = c.select(track.alias("track"), F.col("c_custkey").cast("double").alias("t"), (F.col("c_acctbal") * 8).alias("x"), (F.col("c_custkey") % 97 * 400.0).alias("y"), (F.col("c_nationkey") * 300.0).alias("z"), F.element_at(F.array(F.lit("AIR"), F.lit("ground"), F.lit(None)), (track % 3 + 1).cast("int")).alias("environment"))
+    return duplicates.candidates(points)
 
 
-# ---- tracks: no SQL, tested against loops ----
+# ---- tracks: those without SQL are tested against loops ----
 
 
 def measured(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,9 +208,18 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 4).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
 
 
-@query()
+_FILTER = filter_sql.component_filter()
+
+
+@query(f"""
+WITH RECURSIVE {_FILTER}
+SELECT track::VARCHAR AS track, seq, round(m[1], 2) AS x, round(m[2], 2) AS y, round(m[3], 2) AS z, round(m[4], 3) AS dx, round(m[5], 3) AS dy, round(m[6], 3) AS dz,
+  round(p[1]) AS p_xx, round(p[2]) AS p_xy, round(p[22], 1) AS v_dxdx, round(p[4]) AS c_xdx FROM k WHERE rank > 0
+""")
 def component_tracks(spark, folder):
-    return _rounded(tracks.component_tracks(measured(spark, folder)))
+    """A filter per track."""
+    digits = {"x": 2, "y": 2, "z": 2, "dx": 3, "dy": 3, "dz": 3, "p_xx": 0, "p_xy": 0, "v_dxdx": 1, "c_xdx": 0}
+    return tracks.component_tracks(measured(spark, folder)).select("track", "seq", *[(F.round(c, n) + 0.0).alias(c) for c, n in digits.items()])
 
 
 @query()
@@ -218,9 +232,9 @@ def passthrough_tracks(spark, folder):
     return tracks.passthrough_tracks(measured(spark, folder)).select("track", "seq", F.round("x", 3).alias("x"))
 
 
-def _components(spark: SparkSession, folder: str) -> DataFrame:
+def _components(spark: SparkSession, folder: str, track=tracks.component_tracks) -> DataFrame:
     """Component track events, every third user's track being superseded by the user before."""
-    c = stored(tracks.component_tracks(measured(spark, folder)), "components")
+    c = stored(track(measured(spark, folder)), "components")
     item = F.col("track")
     root = F.when(item.cast("int") % 3 == 1, (item.cast("int") - 1).cast("string")).otherwise(item)
     env = F.when(item.cast("int") % 3 == 1, F.when(item.cast("int") % 2 == 0, "AIR").otherwise("SPACE")).otherwise("AIR")
@@ -253,7 +267,10 @@ def track_heads(spark, folder):
     return h.select("track", "seq", "n_events", at("originated").alias("originated"), at("updated").alias("updated"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_FILTER}, {filter_sql.geodetic_heads()}
+SELECT track::VARCHAR AS entity, round(lat, 8) AS latitude, round(lon, 8) AS longitude, CASE WHEN area < 0 THEN 0 {_STEPS.replace("WHEN a <", "WHEN area <")} ELSE 1 END::BIGINT AS "trackQuality" FROM f
+""")
 def tracked_current_state(spark, folder):
     """Heads as geodetic positions with velocity, ellipse and quality."""
     h = tracks.heads(tracks.component_tracks(measured(spark, folder)))
@@ -263,6 +280,18 @@ def tracked_current_state(spark, folder):
     return state.select(F.col("`objectId.uuid`").alias("entity"), F.round("`estimatedKinematics.position.latitude`", 8).alias("latitude"), F.round("`estimatedKinematics.position.longitude`", 8).alias("longitude"), "trackQuality")
 
 
+@query("""
+WITH f AS (SELECT user_id, min(event_id) AS first FROM events GROUP BY user_id),
+p AS (SELECT f.user_id, CASE WHEN f.user_id % 3 = 1 AND (f.user_id % 2 = 0 OR coalesce(f.first < g.first, TRUE)) THEN f.user_id - 1 ELSE f.user_id END AS principal FROM f LEFT JOIN f g ON g.user_id = f.user_id - 1),
+m AS (SELECT principal, list(user_id::VARCHAR ORDER BY user_id::VARCHAR) AS members FROM p GROUP BY principal)
+SELECT e.user_id::VARCHAR AS track, event_id AS seq, p.principal::VARCHAR AS principal, array_to_string(members, ',') AS components FROM events e JOIN p USING (user_id) JOIN m ON m.principal = p.principal
+""")
+def passthrough_principals(spark, folder):
+    """Fused tracks that are their components' events."""
+    got = tracks.passthrough_principals(_components(spark, folder, tracks.passthrough_tracks))
+    return got.select("track", "seq", "principal", F.array_join("components", ",").alias("components"))
+
+
 @query()
 def smoothed_tracks(spark, folder):
     return _rounded(tracks.smoothed(measured(spark, folder)).select("track", "t", *tracks.STATE, "p_xx", "v_dxdx"))
@@ -272,7 +301,7 @@ def _twins(spark: SparkSession, folder: str) -> DataFrame:
     """Tracks of all users on a common clock, each twice: as it is, and staggered by a few seconds and metres."""
     e = table(spark, folder, "events")
     t = F.expr("timestamp_micros(1704067200000000 + (event_id div 12) * 4000000)")
-    rows = [tracks.measurements(e, track=F.concat(F.lit(name), F.col("user_id")), at=t + F.expr(f"interval {shift} seconds"), seq=F.col("event_id"), environment=F.lit("SEA_SURFACE"), x=F.lit(geo.A), y=F.col("user_id") * 50_000 + F.col("event_id") / 12 * 20 + shift * 5 + F.col("value") % 3, z=F.lit(float(shift))) for name, shift in (("a", 0), ("b", 2))]
+    rows = [tracks.measurements(e, track=F.concat(F.lit(name), F.col("user_id")), at=t + F.expr(f"interval {shift} seconds"), seq=F.col("event_id"), environment=F.lit("SEA_SURFACE"), x=F.lit(geo.A), y=F.col("user_id") * 200_000 + F.col("event_id") / 12 * 20 + shift * 5 + F.col("value") % 3, z=F.lit(float(shift))) for name, shift in (("a", 0), ("b", 2))]
     return rows[0].unionByName(rows[1])
 
 
@@ -282,33 +311,96 @@ def duplicate_tracks(spark, folder):
     return _rounded(duplicates.find(_twins(spark, folder)))
 
 
-@query()
+_SEA = duplicates.LIMITS["SEA_SURFACE"]
+#: A shorter look-back than the usual one, as the tables' tracks don't last as long.
+_HALF_HOUR = duplicates.LOOK_BACK_HOURS | {"SEA_SURFACE": 0.5}
+
+
+def _nearest_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return duplicates.find(_twins(spark, folder), second_generation=True, look_back=_HALF_HOUR)
+
+
+@query(f"""
+WITH {filter_sql.agreeing(_SEA, 0.5)}
+SELECT a, b, 'SEA_SURFACE' AS environment, round(sigma, 4) AS sigma, round(separation, 4) AS separation, 0.0::DOUBLE AS velocity, points, round(overlap, 4) AS overlap, round(confidence, 4) AS confidence FROM r WHERE confidence >= {_SEA.confidence}
+""")
+def nearest_duplicates(spark, folder):
+    """The same in the second generation's way, evaluated from the nearest states, within the look-back."""
+    return _rounded(_nearest_duplicates(spark, folder))
+
+
+@query(f"""
+WITH {filter_sql.agreeing(_SEA, 0.5)}
+SELECT CASE WHEN b = 'b3' THEN a ELSE b END AS "objectId", CASE WHEN b = 'b3' THEN b ELSE a END AS "supersededBy", 'SEA_SURFACE' AS environment, round(confidence, 4) AS confidence FROM r WHERE confidence >= {_SEA.confidence}
+""")
 def supersede_actions(spark, folder):
-    found = duplicates.find(_twins(spark, folder))
+    """What is done about duplicates: the newer twin goes, unless it is confirmed."""
     ids = _twins(spark, folder).select(F.col("track").alias("id")).distinct()
     entities = ids.select("id", (F.col("id") == "b3").alias("confirmed"), F.when(F.startswith("id", F.lit("a")), F.lit("2024-01-01")).otherwise("2024-01-02").cast("timestamp").alias("created"))
-    return _rounded(duplicates.decide(found, entities))
+    return _rounded(duplicates.decide(_nearest_duplicates(spark, folder), entities))
 
 
-@query()
+@query("""
+WITH RECURSIVE n AS (SELECT count(*) AS n FROM customer),
+p AS (SELECT least(k, o) AS a, greatest(k, o) AS b, c FROM (SELECT DISTINCT c_custkey AS k, (c_custkey * 7 + 3) % n AS o, c_acctbal AS c FROM customer, n) WHERE k <> o),
+s AS (SELECT a, b, c, CASE WHEN (a % 5 = 0) <> (b % 5 = 0) THEN CASE WHEN a % 5 = 0 THEN a ELSE b END ELSE a END AS stays FROM p WHERE NOT (a % 5 = 0 AND b % 5 = 0)),
+g AS (SELECT stays::VARCHAR AS stays, CASE WHEN stays = a THEN b ELSE a END::VARCHAR AS goes, c FROM s),
+r AS (SELECT *, row_number() OVER (ORDER BY c DESC, goes, stays) AS i FROM (SELECT DISTINCT * FROM g)),
+d AS (SELECT 0::BIGINT AS i, NULL::VARCHAR AS goes, NULL::VARCHAR AS stays, NULL::DOUBLE AS c, FALSE AS taken, []::VARCHAR[] AS locked
+  UNION ALL SELECT r.i, r.goes, r.stays, r.c, NOT list_contains(locked, r.goes), CASE WHEN list_contains(locked, r.goes) THEN locked ELSE list_concat(locked, [r.goes, r.stays]) END FROM d JOIN r ON r.i = d.i + 1)
+SELECT goes AS "objectId", stays AS "supersededBy", c AS confidence FROM d WHERE taken
+""")
+def greedy_actions(spark, folder):
+    """Pairs that share entities, decided in order of confidence; confirmed entities never go."""
+    c = table(spark, folder, "customer")
+    n = c.count()
+    other, k = (F.col("c_custkey") * 7 + 3) % n, F.col("c_custkey")
+    # the smaller number stays where none is confirmed: it is the older
+    pairs = c.filter(k != other).select(F.least(k, other).cast("string").alias("a"), F.greatest(k, other).cast("string").alias("b"), F.lit("AIR").alias("environment"), F.col("c_acctbal").alias("confidence"))
+    entities = c.select(k.cast("string").alias("id"), (k % 5 == 0).alias("confirmed"), F.timestamp_seconds(k).alias("created"))
+    return duplicates.decide(pairs, entities).select("objectId", "supersededBy", "confidence")
+
+
+#: Of each three users the first two's twins are superseded by the first's track, and the third's by the one before it.
+_RESTORED = f"""
+WITH {filter_sql.twins(1e6)}, {filter_sql.evaluated("SELECT 'b' || user_id AS a, 'a' || (user_id - user_id % 3 // 2) AS b FROM (SELECT DISTINCT user_id FROM n) WHERE user_id % 3 > 0", _SEA.interval, _SEA.extend, _SEA.restore_seconds)},
+c AS (SELECT a, b, finish FROM sp), e AS (SELECT a, b, sqrt(dx * dx + dy * dy + dz * dz) AS far FROM d),
+o AS (SELECT c.a, c.b FROM c JOIN pts p ON p.track = c.a GROUP BY c.a, c.b HAVING count(*) FILTER (p.t >= finish - {_SEA.restore_seconds}) >= {_SEA.points}),
+q AS (SELECT c.a, c.b FROM c JOIN pts p ON p.track = c.b GROUP BY c.a, c.b HAVING count(*) FILTER (p.t >= finish - {_SEA.restore_seconds}) >= {_SEA.points})
+SELECT a AS "objectId", round(median(far), 4) AS separation FROM e JOIN o USING (a, b) JOIN q USING (a, b) GROUP BY a, b HAVING count(*) >= {_SEA.points} AND median(far) > {_SEA.restore_separation}
+"""
+
+
+@query(_RESTORED)
 def restored_entities(spark, folder):
     """Superseded entities that have moved away from their survivor."""
-    h = duplicates.histories(_twins(spark, folder))
+    h = duplicates.histories(_twins(spark, folder), second_generation=True)
     user = F.col("user_id")
-    # of each three users the first two's twins are superseded by the first's track, and the third's is not
     root = F.when(user % 3 == 1, user).when(user % 3 == 2, user - 1)
     roots = table(spark, folder, "events").select("user_id").distinct().select(F.concat(F.lit("b"), user).alias("id"), F.concat(F.lit("a"), root).alias("root"))
     return _rounded(duplicates.parted(roots, h))
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, epoch_us(ts) / 1e6 AS now, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, 86400 + (user_id * 37 % 1000 / 1000 - 0.5) * 0.5 * 86400 AS wait FROM events),
+h AS (SELECT user_id, event_id, event_type, n, now AS since, 0 AS repeats, TRUE AS told FROM e WHERE n = 1
+  UNION ALL SELECT user_id, event_id, event_type, n, CASE WHEN told THEN now ELSE since END, CASE WHEN told THEN 0 ELSE repeats + 1 END, told
+  FROM (SELECT e.*, h.since, h.repeats, e.event_type <> h.event_type OR now - h.since >= wait OR h.repeats + 1 >= 3 AS told FROM h JOIN e ON e.user_id = h.user_id AND e.n = h.n + 1))
+SELECT user_id, event_id AS seq, event_type FROM h WHERE told
+""")
 def heartbeat_states(spark, folder):
     """Changed states and heartbeats."""
     e = table(spark, folder, "events").select("user_id", "event_type", F.col("ts").alias("at"), F.col("event_id").alias("seq"))
-    return stateful.changed_states(e, ["user_id"], ["event_type"], heartbeat_seconds=86400, heartbeat_every=3).select("user_id", "seq", "event_type")
+    jitter = F.col("user_id") * 37 % 1000 / 1000
+    return stateful.changed_states(e, ["user_id"], ["event_type"], heartbeat_seconds=86400, heartbeat_every=3, jitter=jitter).select("user_id", "seq", "event_type")
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS now, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+r AS (SELECT user_id, event_id, n, now AS last, TRUE AS told FROM e WHERE n = 1
+  UNION ALL SELECT e.user_id, e.event_id, e.n, CASE WHEN e.now - last >= 43200000000 THEN e.now ELSE last END, e.now - last >= 43200000000 FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+SELECT user_id, event_id AS seq FROM r WHERE told
+""")
 def rate_limited_heads(spark, folder):
     e = table(spark, folder, "events").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("seq"))
     return stateful.rate_limited(e, "user_id", interval_seconds=43200).select("user_id", "seq")

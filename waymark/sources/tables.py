@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -16,15 +17,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """The frame as a Parquet table in the folder of spark.checkpoint.dir, where its lineage ends. All executors share that folder; only
-    where none is set (a session on one machine, as in tests) a temporary one is made and set."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share. Where none is set a temporary one is made if all run on one machine
+    (as in tests); on a cluster that is an error."""
+    context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-"))
         folder = context.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/waymark-{tag}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """The frame as a Parquet table in the shared folder, where its lineage ends."""
+    path = f"{shared_dir(df.sparkSession)}/waymark-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -97,38 +105,67 @@ def two_phase_delete(base: DataFrame, stale: Column, key: str, status: str, sour
 
 
 class KeyedSink:
-    """Keeps a keyed table of Parquet versions for `foreachBatch`: each batch is merged once, by its number.
+    """Keeps a keyed table of Parquet files for `foreachBatch`: each batch is merged once, by its number.
 
-    A batch that is run again after a failure finds its version written and changes nothing; a version is visible only
-    when its write has ended. Readers take the last one."""
+    Keys lie in buckets by their hash, and a batch re-writes the buckets that it touches, no others. A version is a small file that
+    says which write each bucket's rows are in; it is made by one rename after all rows are written, so readers see a version whole or
+    not at all. A batch that is run again after a failure finds its version and changes nothing. The number of buckets can't change
+    later. What no kept version refers to is deleted."""
 
-    def __init__(self, folder: str, key: str, merge: Callable[[DataFrame, DataFrame, str], DataFrame] | None = None, keep: int = 3) -> None:
-        self.folder, self.key, self.keep = folder.rstrip("/"), key, keep
+    def __init__(self, folder: str, key: str, merge: Callable[[DataFrame, DataFrame, str], DataFrame] | None = None, keep: int = 3, buckets: int = 64) -> None:
+        self.folder, self.key, self.keep, self.buckets = folder.rstrip("/"), key, max(1, keep), buckets
         self.merge = merge or (lambda base, rows, k: partial_update(base, rows, k, create_missing=True))
 
     def _files(self, spark: SparkSession):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return path, path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def versions(self, spark: SparkSession) -> Sequence[int]:
         path, fs = self._files(spark)
-        if not fs.exists(path):
-            return []
-        found = [s.getPath() for s in fs.listStatus(path)]
-        return sorted(int(p.getName()[2:]) for p in found if p.getName().startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+        folder = path(f"{self.folder}/versions")
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()) if fs.exists(folder) else []
+
+    def manifest(self, spark: SparkSession, version: int) -> dict[int, int]:
+        """Bucket to the number of the write that has its rows."""
+        text = spark.read.text(f"{self.folder}/versions/{version}").collect()
+        return {int(k): n for r in text for k, n in json.loads(r[0]).items()}
+
+    def _read(self, spark: SparkSession, manifest: dict[int, int]) -> DataFrame | None:
+        paths = [f"{self.folder}/rows/write={n}/bucket={k}" for k, n in sorted(manifest.items())]
+        return spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         versions = self.versions(spark)
-        return spark.read.parquet(f"{self.folder}/v={versions[-1]}") if versions else None
+        return self._read(spark, self.manifest(spark, versions[-1])) if versions else None
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         versions = self.versions(spark)
         if versions and versions[-1] >= number:
             return
-        base = self.read(spark)
+        before = self.manifest(spark, versions[-1]) if versions else {}
+        bucket = F.pmod(F.xxhash64(field(self.key)), F.lit(self.buckets)).cast("int")
+        touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # `buckets` numbers at most
+        base = self._read(spark, {k: n for k, n in before.items() if k in touched})
         merged = batch if base is None else self.merge(base, batch, self.key)
-        merged.write.mode("overwrite").parquet(f"{self.folder}/v={number}")
-        _, fs = self._files(spark)
-        for old in versions[: -(self.keep - 1)] if self.keep > 1 else versions:
-            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/v={old}"), True)
+        merged = merged.withColumn("bucket", bucket)
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/rows/write={number}")
+        path, fs = self._files(spark)
+        written = [s.getPath().getName() for s in fs.listStatus(path(f"{self.folder}/rows/write={number}"))]
+        now = {k: n for k, n in before.items() if k not in touched} | {int(w.removeprefix("bucket=")): number for w in written if w.startswith("bucket=")}
+        draft = path(f"{self.folder}/versions/_{number}")
+        out = fs.create(draft, True)
+        out.write(json.dumps(now).encode())
+        out.close()
+        fs.rename(draft, path(f"{self.folder}/versions/{number}"))
+        self._clean(spark, [*versions, number])
+
+    def _clean(self, spark: SparkSession, versions: list[int]) -> None:
+        path, fs = self._files(spark)
+        kept = [self.manifest(spark, v) for v in versions[-self.keep :]]
+        needed = {(n, k) for m in kept for k, n in m.items()}
+        for old in versions[: -self.keep]:
+            for k, n in self.manifest(spark, old).items():
+                if (n, k) not in needed:
+                    fs.delete(path(f"{self.folder}/rows/write={n}/bucket={k}"), True)
+            fs.delete(path(f"{self.folder}/versions/{old}"), True)
