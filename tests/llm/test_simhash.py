@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from waymark.llm import simhash
-from waymark.llm.simhash import drop_near_duplicates, fingerprint, indices, keys, links, near_duplicates
+from waymark.llm.simhash import drop_near_duplicates, drop_similar, fingerprint, indices, keys, links, near_duplicates, similar_documents
 
 
 def brute_print(text):
@@ -131,3 +131,95 @@ def test_groups_of_most_rows(spark):
     kept = drop_near_duplicates(frame)
     assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(smallest.values()))
     assert "part#" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def shingles(text, words=5):
+    parts = (text or "").lower().split()
+    return {" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+
+def alike(a, b):
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def test_share_of_similar_pairs_that_have_a_common_key():
+    """At a Jaccard similarity s two sets' cosine is 2s / (1 + s), and a bit differs with its angle's share of half a turn."""
+    rng = np.random.default_rng(9)
+    for similarity, least in ((0.8, 0.9), (0.85, 0.955), (0.9, 0.985)):
+        odds = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+        n, met = 2000, np.zeros(2000, bool)
+        for _ in range(2):
+            a = rng.integers(0, 2**64, n, dtype=np.uint64)
+            b = a ^ np.packbits(rng.random((n, 64)) < odds, axis=1, bitorder="little").view("<u8")[:, 0]
+            (ra, ka), (rb, kb) = keys(a), keys(b)
+            common = set(zip(ra.tolist(), ka.tolist(), strict=True)) & set(zip(rb.tolist(), kb.tolist(), strict=True))
+            met[[r for r, _ in common]] = True
+        assert met.mean() > least
+
+
+def test_similar_documents_against_all_pairs(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(5000)]
+    rows, number = [], 0
+    for group in range(60):
+        base = list(rng.choice(words, int(rng.integers(60, 600))))
+        for _ in range(6):
+            text = list(base)
+            for at in rng.integers(0, len(text), int(rng.integers(0, max(1, len(text) // 60) + 1))):
+                text[at] = str(rng.choice(words))
+            rows.append((number, " ".join(text)))
+            number += 1
+    rows += [(9000, None), (9001, ""), (9002, " \t"), (9003, "one two"), (9004, "One  TWO"), (9005, "one two three"), (None, "alone here"), (None, "alone here"), (3, rows[3][1])]
+    frame = spark.createDataFrame([(*r, {"k": 1}, "x") for r in rows], "doc_id long, text string, m map<string,int>, row string")
+    sets = [shingles(t) for _, t in rows]
+    linked = [(i, j) for i in range(len(rows)) for j in range(i) if alike(sets[i], sets[j])]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in linked:
+        root[find(i)] = find(j)
+    truth = [find(i) for i in range(len(rows))]
+    found = {}
+    for r in similar_documents(frame).collect():
+        found[r["id"], r["body"] % 2**64] = r["root"], r["component"]
+    key = [found[i, xxhash.xxh64_intdigest((t or "").encode(), 42)] for i, t in rows]
+    # nothing is linked that isn't by all pairs, and nearly all that is
+    by_root = {}
+    for k, t in zip(key, truth, strict=True):
+        assert by_root.setdefault(k[0], t) == t
+    hit = sum(key[i] == key[j] for i, j in linked)
+    assert hit > 0.95 * len(linked) and len(linked) > 300
+    for k in set(key):
+        ids = [r[0] for r, x in zip(rows, key, strict=True) if x == k and r[0] is not None]
+        assert k[1] == min(ids, default=None)
+    kept = drop_similar(frame)
+    assert kept.columns == frame.columns and kept.count() == len({k[0] for k in key})
+    assert similar_documents(frame.limit(0)).count() == 0 and drop_similar(frame.limit(0)).count() == 0
+
+
+def test_a_large_group_of_similar_texts(spark):
+    """A text with hundreds of variants: keys with more members than are compared in all pairs, and a hub in several parts."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(400)]
+    variants = [" ".join([*base[:k], "x", *base[k + 1 :]]) for k in rng.permutation(400)[:350]] + [" ".join(base)]
+    rows = [(i, t) for i, t in enumerate(variants)] + [(1000 + i, " ".join(f"{i}-{k}" for k in range(50))) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in similar_documents(frame).collect()}
+    assert got == {i: 0 if i < 1000 else i for i, _ in rows}
+
+
+def test_verification_by_parts(spark, monkeypatch):
+    """A hub's edges dealt over several parts give the same edges."""
+    from waymark.llm import simhash
+
+    monkeypatch.setattr(simhash, "HUB", 3)
+    rng = np.random.default_rng(13)
+    sets = {p: np.unique(rng.integers(0, 40, 30).astype("<u8")) for p in range(-5, 30)}
+    frame = spark.createDataFrame([(p, s.tobytes()) for p, s in sets.items()], "print long, shingles binary")
+    edges = {(max(a, b), min(a, b)) for a, b in rng.integers(-5, 30, (150, 2)).tolist() if a != b} | {(k, -5) for k in range(30)}
+    got = simhash.verified(spark.createDataFrame(list(edges), "u long, v long"), frame, 0.35)
+    assert sorted(map(tuple, got.collect())) == sorted((u, v) for u, v in edges if simhash.jaccard(sets[u], sets[v]) >= 0.35)

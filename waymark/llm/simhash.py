@@ -13,6 +13,13 @@ fingerprint with those not yet reached, and stops when all are. That gives a spa
 members) of the same components as all pairs, so neither dense groups nor common keys multiply the output. A key's
 members take 8 bytes each in the task.
 
+`similar_documents` is for whole similarities: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+At that similarity about 10 of 64 bits differ, more than any few keys can promise, so a text has two fingerprints of 64 bits (of its
+distinct shingles), both keyed. Two segments of one of them share an index for 92 of 100 pairs at 0.8, 97 at 0.85 and 99 at
+0.9 (binomial, in the tests); members of a key within `near_bits` of all 128 bits (999 of 1000 pairs at 0.8) are candidates. Each candidate is then verified on the whole
+shingle sets, so nothing less similar is linked. Keys of up to `BULK` members give all their candidates, larger ones a spanning forest of
+them (a link that only a larger key has and whose place in the forest is taken by a candidate that fails is missed).
+
 Null and empty texts, and texts of white space, have fingerprint zero and link like any other. Fewer words than a shingle count as
 one shingle. Ties between the counts of ones and zeros give zero. Repeated rows each get their row. A null id is never
 the smallest unless a component has no other. An empty table gives an empty result. Only the named columns are read by
@@ -38,25 +45,56 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 #: Generator polynomial of the binary Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 POLYNOMIAL = 0b101011100011
 SMALL = 8
+#: Keys of up to so many members are compared in all pairs for candidates to verify.
+BULK = 64
 
 
-def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
-    """Majority bits of the shingles' hashes. ASCII letters are lower-cased; words end at ASCII white space."""
+def shingle_hashes(text: bytes | None, words: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, repeats included, in blocks. ASCII letters are lower-cased; words end at ASCII white space."""
     parts = (text or b"").lower().split()
     if not parts:
-        return 0
+        return
     joined, sizes = b" ".join(parts), np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(sizes + 1) - 1
     n = max(1, len(parts) - words + 1)
     first = (ends - sizes)[:n].tolist()
     last = ends[words - 1 :].tolist() if len(parts) >= words else [len(joined)]
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):  # a very long text in blocks
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(first[at : at + (1 << 16)], last[at : at + (1 << 16)], strict=True)], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    digest = xxhash.xxh64_intdigest
+    for at in range(0, n, 1 << 16):
+        yield np.array([digest(joined[a:b], seed) for a, b in zip(first[at : at + (1 << 16)], last[at : at + (1 << 16)], strict=True)], "<u8")
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
+    """Majority bits of the shingles' hashes; 0 without words."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, words, seed):
+        ones += _ones(hashes)
+        n += len(hashes)
+    return _majority(ones, n)
+
+
+def shingle_set(text: bytes | None, words: int = 5) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
+    return np.unique(np.concatenate([np.empty(0, "<u8"), *shingle_hashes(text, words)]))
+
+
+def double_fingerprint(text: bytes | None, words: int = 5) -> tuple[int, int]:
+    """Majority bits of the distinct shingles' hashes, and of the hashes mixed once more."""
+    hashes = shingle_set(text, words)
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    return _majority(_ones(hashes), len(hashes)), _majority(_ones(mixed), len(hashes))
+
+
 def _remainder(vectors: np.ndarray) -> np.ndarray:
     """Of 23-bit vectors as polynomials, divided by the code's: the syndrome."""
     out = vectors.copy()
@@ -97,6 +135,12 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(out)
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of rows of fingerprints."""
+    counts = np.bitwise_count(a ^ b)
+    return counts[..., 0] if counts.shape[-1] == 1 else counts.sum(axis=-1)
+
+
 def _search(prints: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links of a spanning forest of the graph of all pairs within the distance."""
     left = prints
@@ -105,35 +149,37 @@ def _search(prints: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.
         while frontier and len(left):
             block = frontier.pop()
             for at in block:
-                near = np.bitwise_count(left ^ at) <= distance
+                near = _apart(left, at) <= distance
                 if near.any():
                     new = left[near]
-                    yield np.full(len(new), at, np.uint64), new
+                    yield np.repeat(at[None], len(new), axis=0), new
                     frontier.append(new)
                     left = left[~near]
                     if not len(left):
                         break
 
 
-def links(key: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by key: links that connect what is within the distance under one key."""
+def links(key: np.ndarray, prints: np.ndarray, distance: int, small: int = SMALL) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by key: links that connect what is within the distance under one key; all of them for keys of up to `small` rows.
+
+    prints: a column, or columns, of 64 bits; links are given by the first."""
+    prints = prints.reshape(len(prints), -1)
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.concatenate([start, [len(key)]]))
-    few = np.repeat(size <= SMALL, size)
+    few = np.repeat(size <= small, size)
     some, theirs = prints[few], key[few]
     us, vs = [], []
-    for step in range(1, SMALL):
+    for step in range(1, small):
         same = np.flatnonzero(theirs[step:] == theirs[:-step])
         if not len(same):
             break
-        a, b = some[same], some[same + step]
-        near = np.bitwise_count(a ^ b) <= distance
-        us.append(a[near])
-        vs.append(b[near])
-    for at, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+        near = same[_apart(some[same], some[same + step]) <= distance]
+        us.append(some[near, 0])
+        vs.append(some[near + step, 0])
+    for at, n in zip(start[size > small].tolist(), size[size > small].tolist(), strict=True):
         for a, b in _search(prints[at : at + n], distance):
-            us.append(a)
-            vs.append(b)
+            us.append(a[:, 0])
+            vs.append(b[:, 0])
     if not us:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     u, v = np.concatenate(us), np.concatenate(vs)
@@ -157,26 +203,35 @@ def fingerprints(df: DataFrame, text: str = "text", id_col: str = "doc_id", word
 def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
     """Edges (u > v, as unsigned) between distinct fingerprints (column print) that give the components of all links."""
     if distance > 4:
-        raise ValueError("the keys hold for at most 4 differing bits")
+        raise ValueError("the keys of one fingerprint hold for at most 4 differing bits")
+    return _links(prints, ["print"], distance, SMALL)
+
+
+def _links(prints: DataFrame, columns: list[str], distance: int, small: int) -> DataFrame:
+    """Edges between rows of fingerprints under one key of any of them, within the distance over all columns."""
+    width = len(columns)
+    rest = columns[1:]
 
     def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_prints = batch.column(0).to_numpy().view(np.uint64)
-            for at in range(0, len(all_prints), 8192):
-                some = all_prints[at : at + 8192]
-                row, key = keys(some)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(some[row].view(np.int64))], names=["key", "print"])
+            whole = np.stack([batch.column(k).to_numpy() for k in range(width)], axis=1).view(np.uint64)
+            for at in range(0, len(whole), 8192):
+                some = whole[at : at + 8192]
+                for k in range(width):
+                    row, key = keys(some[:, k])
+                    held = [pa.array(some[row, c].view(np.int64)) for c in range(width)]
+                    yield pa.RecordBatch.from_arrays([pa.array((key | (k << 26)).astype(np.int32)), *held], names=["key", *columns])
 
     def link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(key: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
-            u, v = links(key, prints, distance)
+            u, v = links(key, prints, distance, small)
             if len(u):
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
         for batch in batches:
-            key, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            key, prints = batch.column(0).to_numpy(), np.stack([batch.column(1 + k).to_numpy() for k in range(width)], axis=1).view(np.uint64)
             if not len(key):
                 continue
             cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
@@ -188,30 +243,133 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
         if held:
             yield from out(*map(np.concatenate, zip(*held, strict=True)))
 
-    # a row becomes 85: rows are spread first, as a table of few bytes is read by few tasks
+    # a row becomes 85 for each fingerprint: rows are spread first, as a table of few bytes is read by few tasks
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = prints.select("print").repartition(parts, "print").transform(mapped, key_rows, "key int, print long")
+    keyed = prints.select(*columns).repartition(parts, columns[0]).transform(mapped, key_rows, "key int, " + ", ".join(f"{c} long" for c in [columns[0], *rest]))
     found = keyed.repartition("key").sortWithinPartitions("key").transform(mapped, link_rows, "u long, v long")
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def double_fingerprints(df: DataFrame, text: str, id_col: str, words: int) -> DataFrame:
+    """(id, print, check, body) for every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column(1).cast(pa.binary())]
+            both = np.array([double_fingerprint(x, words) for x in texts], np.uint64).reshape(-1, 2).view(np.int64)
+            bodies = np.array([xxhash.xxh64_intdigest(x, 42) for x in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(bodies)], names=["id", "print", "check", "body"])
+
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, "id long, print long, check long, body long")
+
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """(print, shingles): the sorted hashes of each text's distinct shingles, as bytes; texts: (print, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                some = batch.slice(at, 1000)
+                found = [shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", words).tobytes() for x in some.column(1).cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["print", "shingles"])
+
+    return texts.select("print", "text").transform(mapped, run, "print long, shingles binary")
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets; two empty ones are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+#: Candidates of one hub are dealt over parts of so many, each with the hub's set.
+HUB = 500
+
+
+def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The edges (u, v) whose texts' shingle sets (print, shingles) are similar enough.
+
+    An edge goes to its end with more edges, the hub, whose set is copied once for `HUB` of them and held while the sets of the other
+    ends pass by; a set is sent once for each of its edges."""
+    both = edges.select(F.col("u").alias("n"), F.col("v").alias("o")).union(edges.select("v", "u"))
+    degree = stored(both.groupBy("n").agg(F.count(F.lit(1)).alias("c")), "degrees")
+    d = lambda name: degree.select(F.col("n").alias(name), F.col("c").alias(f"c_{name}"))
+    larger = F.struct("c_u", "u") >= F.struct(F.col("c_v").alias("c_u"), F.col("v").alias("u"))
+    known = even_join(even_join(edges, d("u"), "u", degree.select(F.col("n").alias("u"), F.col("c").alias("n")), F.col("v")), d("v"), "v", degree.select(F.col("n").alias("v"), F.col("c").alias("n")), F.col("u"))
+    turned = known.select(F.when(larger, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(larger, F.col("v")).otherwise(F.col("u")).alias("leaf"))
+    turned = stored(turned, "hubs")
+    parts = turned.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("parts"))
+    hubs = sets.join(parts, sets["print"] == parts["hub"]).select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("leaf"), "shingles")
+    counts = turned.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    placed = even_join(turned, parts, "hub", turned.groupBy("hub").agg(F.count(F.lit(1)).alias("n")), F.col("leaf"), "inner")
+    leaves = even_join(placed, sets.withColumnRenamed("print", "leaf"), "leaf", counts, F.col("hub"), "inner").select("hub", F.pmod(F.xxhash64("leaf"), F.col("parts")).cast("int").alias("part"), "leaf", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, np.empty(0, "<u8")
+        for batch in batches:
+            us, vs = [], []
+            for hub, part, leaf, shingles in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if leaf is None:
+                    at, own = (hub, part), np.frombuffer(shingles, "<u8")
+                elif (hub, part) == at and jaccard(own, np.frombuffer(shingles, "<u8")) >= similarity:
+                    us.append(hub)
+                    vs.append(leaf)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    ordered = hubs.unionByName(leaves).repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("leaf").asc_nulls_first())
+    found = ordered.transform(mapped, run, "u long, v long")
+    return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+
+
+def similar_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 5, similarity: float = 0.8, near_bits: int = 32) -> DataFrame:
+    """A row per row: id, print, body, component (the smallest id reachable by verified links) and root.
+
+    Texts with one fingerprint (both halves of which are then all but sure to agree) are taken as one; the first by id stands for them."""
+    prints = stored(double_fingerprints(df, text, id_col, words), "prints")
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "body")
+    least = stored(prints.groupBy("print").agg(F.min("id").alias("least"), F.min(F.struct(order.alias("o"), "check", "body")).alias("one"), F.count(F.lit(1)).alias("n")), "distinct")
+    least = least.select("print", "least", F.col("one.check").alias("check"), F.col("one.o.id").alias("one_id"), F.col("one.body").alias("one_body"), "n")
+    edges = stored(_links(least, ["print", "check"], near_bits, BULK), "candidates")
+    # the texts of candidates only: marked in a bitmap of fixed size, then looked up
+    ends = stored(edges.select(F.col("u").alias("print")).union(edges.select("v")).distinct().join(least, "print").select("print", F.col("one_id").alias("known_id"), F.col("one_body").alias("known_body")), "ends")
+    keyed = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"))
+    may = marked(keyed, bitmap(ends.select(slot(F.col("known_id"), F.col("known_body")).alias("s"))), slot(F.col("id"), F.col("body"))).filter("may")
+    texts = may.join(ends, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("body") == F.col("known_body"))).groupBy("print").agg(F.first("text").alias("text"))
+    sure = verified(edges, stored(_sets(texts, words), "sets"), similarity)
+    return _named(prints, least, connected_components(sure))
+
+
 def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 4, distance: int = 4) -> DataFrame:
     """A row per row: id, print, body and component, the smallest id reachable by links."""
     prints = stored(fingerprints(df, text, id_col, words), "prints")
     least = stored(prints.groupBy("print").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
-    roots = connected_components(near_links(least, distance))
+    return _named(prints, least, connected_components(near_links(least, distance)))
+
+
+def _named(prints: DataFrame, least: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (id, print, body) with the component and root of their fingerprint; least: (print, least, n); roots: (node, root)."""
     rooted = stored(least.join(roots, least["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
     # fingerprints linked to others; each of the rest is a component
     linked = stored(rooted.groupBy("root").agg(F.min("least").alias("component"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "roots")
     named = even_join(rooted, linked.select("root", "component"), "root", linked, F.col("print")).select("print", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"), "root")
-    return even_join(prints, named, "print", least, F.struct("id", "body"), "inner").select("id", "print", "body", "component", "root")
+    return even_join(prints.select("id", "print", "body"), named, "print", least, F.struct("id", "body"), "inner").select("id", "print", "body", "component", "root")
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 4, distance: int = 4) -> DataFrame:
-    """The rows that stay, one of each component (the smallest id, then the smallest hash of its text), with all columns.
+    """The rows that stay, one of each component of `near_duplicates`, with all columns."""
+    return keep_one(df, near_duplicates(df, text, id_col, words, distance), text, id_col)
+
+
+def drop_similar(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows that stay, one of each component of `similar_documents`, with all columns."""
+    return keep_one(df, similar_documents(df, text, id_col, words, similarity), text, id_col)
+
+
+def keep_one(df: DataFrame, components: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of df that stay, one of each component (the smallest id, then the smallest hash of its text), with all columns.
 
     Rows to drop are marked in a bitmap of fixed size; only rows that it may mean are shuffled and looked up."""
-    found = stored(near_duplicates(df, text, id_col, words, distance), "near")
+    found = stored(components, "near")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "body")
     one = stored(found.groupBy("root").agg(F.min(order).alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "tops")
     rows = even_join(found, one.select("root", "top"), "root", one, F.struct("id", "body"), "inner").select("id", "body", ((F.col("top.id").eqNullSafe(F.col("id"))) & (F.col("top.body") == F.col("body"))).alias("stays"))
