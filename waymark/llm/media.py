@@ -39,7 +39,7 @@ from waymark.llm.common import columns_of, documents, even_join, mapped, stored
 
 ROW = 64
 #: Bytes of a segment at most.
-SEGMENT = 32768
+SEGMENT = 65536
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 ITEM = "struct<pos:int,kind:string,text:string,ref:string,caption:string>"
 MEDIA = {"img", "video", "audio", "source", "embed", "object"}
