@@ -93,3 +93,26 @@ def test_held_out_accuracy(spark):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "lang").collect()}
     got = [r for r in query(spark, path).collect() if r["held_out"]]
     assert len(got) > 100 and sum(lang[r["doc_id"]] == r["lang_pred"] for r in got) / len(got) > 0.98
+
+
+def test_counts_of_tasks_give_the_same_model(spark):
+    """Counted in parts over tasks, with a long text and a language of one text, against all texts at once."""
+    rows = ROWS + [(700 + i, t[::-1] * 3, "rev") for i, t in enumerate(EN)] + [(900, "ja nee dank je wel " * 9000, "nl"), (901, None, "nl")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    samples = {}
+    for _, t, lang in rows:
+        samples.setdefault(lang, []).append((t or "").encode())
+    for most in (16384, 200):
+        model, whole = train(frame, max_contexts=most), fit(samples, most)
+        assert model.languages == whole.languages == ["de", "en", "nl", "rev"]
+        assert model.contexts.triples.tolist() == whole.contexts.triples.tolist() and np.allclose(model.costs, whole.costs)
+
+
+def test_no_language_is_left_out(spark):
+    """A hundred languages, each of its own letters; the contexts are bounded, not the languages."""
+    rows = [(100 * k + i, " ".join(chr(0x4E00 + 50 * k + j) * 2 for j in range(i, i + 12)), f"l{k:03}") for k in range(100) for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train(frame, cells=1 << 22)
+    assert len(model.languages) == 100 and len(model.contexts.triples) <= 256
+    got = identify(frame, model).collect()
+    assert sum(r["lang_pred"] == f"l{r['id'] // 100:03}" for r in got) > 0.9 * len(rows)

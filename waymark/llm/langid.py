@@ -7,9 +7,11 @@ counts; the last resort is equal shares of the bytes left. Statistics are frozen
 byte is a function of its context and can be tabled: a text's code length is the exact sum over its whole length. The
 language with the shortest code wins; the score is its share of the languages' probabilities.
 
-Training: of the texts with a language, about `per_language` for each of the `languages` most frequent ones, by hash of
-their ids, none longer than `longest` bytes (bounds of a sample; every text is scored whole). Contexts seen once are
-dropped and `max_contexts` are kept at most, so the model that is broadcast is bounded: 1 KiB a context and language.
+Training: of the texts with a language, about `per_language` for each language, by hash of their ids (the bound of a sample
+of rows; drawn texts are counted whole, however long, and every text is scored whole). Tasks count their texts and hand over counts, so no
+text goes to the driver. Contexts of three bytes that are seen once in every language are dropped and `max_contexts` are kept at most; where
+there are so many languages that the model would have more than `cells` probabilities, fewer are. So the model that is broadcast is bounded
+per language (about 512 KiB beyond its contexts), and no language is left out.
 
 Null texts and texts without a letter give `und` with score 0. Ties go to the alphabetically first language. Repeated
 rows each get their row. A null id is held out and not trained on. Without any labelled text all rows are `und`. Only
@@ -28,9 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.bytectx import Contexts, grams, totals
-from waymark.llm.common import documents, in_small_batches, mapped, tidy
+from waymark.llm.bytectx import Contexts, grams, merged, totals
+from waymark.llm.common import documents, in_small_batches, mapped, small, stored, tidy
 
+#: Contexts of three bytes at most, and probabilities (4 bytes each) that they may take.
+MAX_CONTEXTS, CELLS = 16384, 1 << 26
+#: A task hands over its counts when it holds so many.
+FLUSH = 1_500_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -68,24 +74,38 @@ def _bits(orders: list[np.ndarray]) -> np.ndarray:
     return np.where(done, cost, escape + np.log2(np.maximum(rest, 1)))
 
 
-def fit(samples: dict[str, list[bytes]], max_contexts: int = 16384) -> Model:
-    languages = sorted(samples)
-    counted = {k: grams(v) for k, v in samples.items()}
-    triples: dict[int, int] = {}
+#: Sorted codes and their counts.
+Counts = tuple[np.ndarray, np.ndarray]
+
+
+def contexts_kept(seen: dict[int, int], languages: int, max_contexts: int, cells: int) -> list[int]:
+    """Of contexts of three bytes and the most that a language has seen them: those that the model keeps, sorted."""
+    most = min(max_contexts, max(256, cells // (256 * max(1, languages))))
+    return sorted(sorted((c for c, n in seen.items() if n > 1), key=lambda c: (-seen[c], c))[:most])
+
+
+def fit(samples: dict[str, list[bytes]], max_contexts: int = MAX_CONTEXTS, cells: int = CELLS) -> Model:
+    """The model of texts by language."""
+    counted = {k: tuple(x.astype(np.int64) for x in grams(v)) for k, v in samples.items()}
+    seen: dict[int, int] = {}
     for codes, counts in counted.values():
         context, at = np.unique(codes >> 8, return_inverse=True)
         for c, n in zip(context.tolist(), np.bincount(at, counts, len(context)).tolist(), strict=True):
-            triples[c] = max(triples.get(c, 0), n)
-    kept = sorted(sorted((c for c, n in triples.items() if n > 1), key=lambda c: (-triples[c], c))[:max_contexts])
+            seen[c] = max(seen.get(c, 0), n)
+    return of_counts({k: (c, (c[0] & 0xFFFFFF, c[1]), (c[0] & 0xFFFF, c[1])) for k, c in counted.items()}, contexts_kept(seen, len(samples), max_contexts, cells))
+
+
+def of_counts(counts: dict[str, tuple[Counts, Counts, Counts]], kept: list[int]) -> Model:
+    """The model of counts of (context, byte) with contexts of three, two and one byte by language; counts of contexts of three and of two
+    bytes are needed for those kept only, and may come in parts."""
+    languages = sorted(counts)
     pairs = sorted({c & 0xFFFF for c in kept})
     contexts = Contexts(np.array(pairs, np.int64), np.array(kept, np.int64))
     costs = np.zeros((contexts.states * 256, len(languages)), np.float32)
     one = np.arange(256)
     for k, name in enumerate(languages):
-        codes, counts = counted[name]
-        n3 = _tally(codes.astype(np.int64), counts, contexts.triples)
-        n2 = _tally(codes.astype(np.int64) & 0xFFFFFF, counts, contexts.pairs)
-        n1 = _tally(codes.astype(np.int64) & 0xFFFF, counts, one)
+        three, two, last_one = counts[name]
+        n3, n2, n1 = _tally(*three, contexts.triples), _tally(*two, contexts.pairs), _tally(*last_one, one)
         n0 = n1.sum(axis=0, keepdims=True)
         last = contexts.pairs & 255
         costs[: len(pairs) * 256, k] = _bits([n2, n1[last], np.repeat(n0, len(pairs), 0)]).ravel()
@@ -117,21 +137,63 @@ def remainder(id_col: Column, modulus: int) -> Column:
     return F.crc32(id_col.cast("string")) % modulus
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", held_out: Column | None = None, per_language: int = 400, longest: int = 65536, languages: int = 64, max_contexts: int = 16384) -> Model:
+def _counted(rows: DataFrame) -> DataFrame:
+    """(lang, code, n): counts of (three bytes before, byte) of texts (lang, t), a part from each task. Stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counts] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, (codes, counts) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(counts)], names=["lang", "code", "n"])
+
+        for batch in batches:
+            texts: dict[str, list[bytes]] = {}
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                texts.setdefault(name, []).append(body.as_buffer().to_pybytes().lower() if body.is_valid else b"")
+            for name, some in texts.items():
+                found = grams(some)
+                before = held.get(name)
+                held[name] = found if before is None else merged([before[0], found[0]], [before[1], found[1]])
+            if sum(len(c) for c, _ in held.values()) > FLUSH:
+                yield from out()
+                held.clear()
+        yield from out()
+
+    parts = rows.transform(mapped, run, "lang string, code long, n long", "langid")
+    return stored(parts.groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
+
+
+def train(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", held_out: Column | None = None, per_language: int = 400, max_contexts: int = MAX_CONTEXTS, cells: int = CELLS) -> Model:
     """Fits on the rows not held out; null in `held_out` counts as held out."""
-    ours = df.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang"), F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(True)).alias("out"))
+    ours = df.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"), F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(True)).alias("out"))
     ours = ours.filter("not out and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in ours.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
-    if not sizes:
+    sizes = stored(ours.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    names = sorted(r["lang"] for r in sizes.select("lang").collect())  # the classes, of which the model has a column each
+    if not names:
         return Model([], Contexts(np.empty(0), np.empty(0)), np.zeros((0, 0), np.float32))
-    # a share of each language's ids by hash: no shuffle, and the same rows wherever they lie
-    share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    drawn = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1_000_003)) < F.try_element_at(share, F.col("lang")) * 1_000_003
-    rows = ours.filter(drawn & (F.octet_length("t") <= longest)).select("lang", F.col("t").cast("binary").alias("t")).orderBy("id").limit(2 * per_language * languages).collect()
-    samples: dict[str, list[bytes]] = {}
-    for r in rows:
-        samples.setdefault(r["lang"], []).append(bytes(r["t"]).lower())
-    return fit(samples, max_contexts)
+    # a share of each language's ids by hash: no shuffle of texts, and the same rows wherever they lie
+    drawn = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1_000_003)) < F.least(F.lit(1.0), F.lit(per_language) / F.col("n")) * 1_000_003
+    rows = ours.join(small(sizes), "lang").filter(drawn).select("lang", "t")
+    whole = _counted(rows)
+    context, pair = F.shiftright("code", 8), F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF))
+    seen = whole.groupBy("lang", context.alias("c")).agg(F.sum("n").alias("n")).groupBy("c").agg(F.max("n").alias("n")).filter("n > 1")
+    kept = contexts_kept({r["c"]: r["n"] for r in seen.orderBy(F.desc("n"), "c").limit(max_contexts).collect()}, len(names), max_contexts, cells)
+
+    def collected(rows: DataFrame, bytes_: int, known: list[int] | None = None, of: Column | None = None) -> dict[str, Counts]:
+        """Counts by language of the last `bytes_` bytes, for known contexts (at most `max_contexts`, the bound of what is broadcast)."""
+        if known is not None:
+            frame = df.sparkSession.createDataFrame([(c,) for c in known], "known long")
+            rows = rows.join(F.broadcast(frame), of == F.col("known"), "left_semi")
+        found = rows.groupBy("lang", F.col("code").bitwiseAND(F.lit((1 << 8 * bytes_) - 1)).alias("code")).agg(F.sum("n").alias("n")).toArrow().sort_by([("lang", "ascending"), ("code", "ascending")])
+        lang_, codes, counts = found["lang"].to_numpy(zero_copy_only=False), found["code"].to_numpy(), found["n"].to_numpy()
+        edges = [*(np.searchsorted(lang_.astype(str), names).tolist() if len(found) else [0] * len(names)), len(found)]
+        return {name: (codes[a:b], counts[a:b]) for name, a, b in zip(names, edges, edges[1:], strict=False)}
+
+    three = collected(whole, 4, kept, context)
+    two = collected(whole, 3, sorted({c & 0xFFFF for c in kept}), pair)
+    one = collected(whole, 2)
+    return of_counts({n: (three[n], two[n], one[n]) for n in names}, kept)
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -147,7 +209,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", id_col: str = "doc
 
 
 def drop_unidentified(df: DataFrame, model: Model, text: str = "text", min_score: float = 0.5, max_bits: float = 6.5) -> DataFrame:
-    """The rows whose text is in one of the model's languages: not `und`, no weak score, and not coded so badly that it is none of them."""
+    """The rows whose text is in one of the model's languages: not `und`, no score below `min_score` (no language has half of the
+    probability), and no more than `max_bits` a byte (text of a language takes about 2 to 4, random bytes 8)."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     @tidy
