@@ -16,8 +16,8 @@ dropped. With a number of tokens, sources may get less than a pass.
 
 The sources' token counts are gathered as one array (8 bytes a source) for the bisection; nothing else depends on the
 number of sources. Null texts count as empty; tokens are words and one end, so each document has at least one. A null
-source is a source. Ties in a hash (the same id again) are ordered by size, then taken together or not at all by
-`mix`, and one by one by `blocks`. A single source has a = 1. An empty table gives an empty result. `blocks` reads the
+source is a source. Rows with one hash (the same id again, or null) are taken together or not at all; within, they are ordered by
+size. A single source has a = 1. An empty table gives an empty result. `blocks` reads the
 named columns only; `mix` passes all columns on.
 """
 
@@ -104,16 +104,17 @@ def blocks(df: DataFrame, text: str = "text", source: str = "source", id_col: st
     before: tokens of its source before it, over all passes."""
     rows = stored(_rows(df, text, source, id_col), "tokens")
     plan = _plan(rows, per_range, **how)
-    size = F.greatest(F.ceil(F.sum("quota").over(Window.partitionBy()) / block_tokens), F.lit(1))
-    plan = stored(plan.withColumn("blocks", size), "weights")
+    plan = stored(plan, "weights")
+    n_blocks = max(1, -(-(plan.agg(F.sum("quota")).first()[0] or 0) // block_tokens))
     taken = rows.join(small(plan), "skey").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full"))))
     taken = taken.filter("pass < full or rest > 0").withColumn("hash", _hash(F.col("pass"), F.col("id"))).withColumn("range", _range(F.col("hash"), F.col("ranges")))
     sums = taken.groupBy("skey", "pass", "range").agg(F.sum("n").alias("sum"))
     ahead = Window.partitionBy("skey", "pass").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     start = sums.select("skey", "pass", "range", F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("start"))
     inside = Window.partitionBy("skey", "pass", "range").orderBy("hash", "n").rowsBetween(Window.unboundedPreceding, -1)
-    placed = taken.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(start, ["skey", "pass", "range"])
-    placed = placed.withColumn("at", F.col("start") + F.col("within")).filter("pass < full or at < rest")
+    placed = taken.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    placed = placed.withColumn("first", F.min("within").over(Window.partitionBy("skey", "pass", "range", "hash"))).join(start, ["skey", "pass", "range"])
+    placed = placed.withColumn("at", F.col("start") + F.col("within")).filter("pass < full or start + first < rest")
     before = F.col("pass") * F.col("tokens") + F.col("at")
     return placed.select(
         "id",
@@ -121,7 +122,7 @@ def blocks(df: DataFrame, text: str = "text", source: str = "source", id_col: st
         "pass",
         F.col("n").alias("tokens"),
         before.alias("before"),
-        F.expr("(pass * tokens + at) * blocks div quota").alias("block"),
+        F.least(F.expr(f"(pass * tokens + at) * {n_blocks} div quota"), F.lit(n_blocks - 1)).alias("block"),
         "weight",
         (F.col("quota") / F.col("tokens")).alias("repeats"),
     )
@@ -179,8 +180,9 @@ q AS (SELECT *, greatest(round(budget * weight)::BIGINT, tokens) AS quota FROM w
 r AS (SELECT *, quota // tokens AS full_passes, quota % tokens AS rest, greatest(ceil((SELECT sum(quota) FROM q) / {BLOCK_TOKENS})::BIGINT, 1) AS blocks FROM q),
 e AS (SELECT *, md5('{SEED}|' || pass_no || '|' || coalesce(doc_id::VARCHAR, 'null')) AS h
   FROM (SELECT d.doc_id, d.source, d.n, r.* EXCLUDE (source), unnest(range(0, full_passes + 1)) AS pass_no FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)),
-o AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY source, pass_no ORDER BY h, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before_it FROM e)
-SELECT doc_id, source, pass_no, n AS n_tokens, pass_no * tokens + before_it AS before, (pass_no * tokens + before_it) * blocks // quota AS block,
+o AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY source, pass_no ORDER BY h, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before_it FROM e),
+f AS (SELECT *, min(before_it) OVER (PARTITION BY source, pass_no, h) AS first_it FROM o)
+SELECT doc_id, source, pass_no, n AS n_tokens, pass_no * tokens + before_it AS before, least((pass_no * tokens + before_it) * blocks // quota, blocks - 1) AS block,
   round(weight, 6) AS weight, round(quota / tokens, 6) AS repeats
-FROM o WHERE pass_no < full_passes OR before_it < rest
+FROM f WHERE pass_no < full_passes OR first_it < rest
 """
