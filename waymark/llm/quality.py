@@ -1,8 +1,8 @@
 """Quality classifier by co-training.
 
 Two classifiers see different views of a document. The text view has hashed words (as shares of all words) and shares of
-kinds of bytes, word lengths and repetition. The metadata view has source, language, recorded size and layout (lines,
-line lengths), all as buckets, and no words. Both are logistic regressions, first fitted on labelled documents. In each
+kinds of bytes, word and line lengths and repetition. The metadata view has source, language and recorded size and their pairs, all
+as buckets, and nothing of the text. Both are logistic regressions, first fitted on labelled documents. In each
 round each view labels those documents of an unlabelled pool that it is most sure of, in the proportion of the labels,
 and gives them to the other view, which is fitted anew. At the end each view is calibrated (Platt scaling) on labelled
 documents that no fit has seen, and the calibrated log-odds are combined by a third fit there, which gives a view that
@@ -12,7 +12,7 @@ Bounds of the sample that is fitted: `labelled` documents with a label and `pool
 longer than `longest` bytes. Their features, not their texts, go to the driver.
 
 Null texts count as empty; a null source, language or size is a bucket of its own. A null id is not trained on. A
-document with several labels counts once with their mean, rounded up at one half. With no labels of one of the classes
+document with several labels counts once with their mean, rounded up at one half. Ties in confidence go to the smaller id. With no labels of one of the classes
 the score is the share of good labels (0.5 without any). Repeated rows each get their row. Very long texts are scored
 whole. An empty table gives an empty result. Only the named columns are read.
 """
@@ -33,9 +33,9 @@ from waymark.llm.common import documents, mapped, remember
 WORDS = 512
 #: Kinds of bytes whose shares are features.
 KINDS = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" ", b"\n", b".,;:", b"!?", b"|", b"#$%&*@^~", b"()[]{}<>", b"\"'`", b"=+-_/\\", bytes(range(128, 256)))
-DENSE = len(KINDS) + 4
-SOURCES, LANGUAGES, STEPS = 64, 32, 24
-META = SOURCES + LANGUAGES + 3 * STEPS
+DENSE = len(KINDS) + 6
+SOURCES, LANGUAGES, STEPS, PAIRS = 64, 32, 24, 256
+META = SOURCES + LANGUAGES + STEPS + 3 * PAIRS
 
 
 def _kind_table() -> np.ndarray:
@@ -73,7 +73,7 @@ def text_features(text: bytes) -> np.ndarray:
     counts = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
     out[WORDS : WORDS + len(KINDS)] = counts @ _BYTES / len(text) * 4
     lines = text.split(b"\n")
-    out[-4:] = np.log(len(text) / len(words)), len(set(words)) / len(words), len(set(lines)) / len(lines), np.log(len(words)) / 8
+    out[-6:] = np.log(len(text) / len(words)), len(set(words)) / len(words), len(set(lines)) / len(lines), np.log(len(words)) / 8, np.log(len(lines)) / 8, np.log(1 + len(text) / len(lines)) / 8
     return out
 
 
@@ -81,18 +81,17 @@ def _step(x: float) -> int:
     return min(STEPS - 2, int(2 * np.log2(1 + max(0.0, x))) // 2)
 
 
-def meta_cells(text: bytes, source: str | None, lang: str | None, size: float | None) -> list[int]:
-    """The metadata view's buckets that are set."""
+def meta_cells(source: str | None, lang: str | None, size: float | None) -> list[int]:
+    """The metadata view's buckets that are set: one of each value, and one of each pair of values."""
 
     def hashed(value: str | None, n: int) -> int:
         return n - 1 if value is None else xxhash.xxh32_intdigest(value.encode()) % (n - 1)
 
-    lines = text.count(b"\n") + 1
-    cells = [hashed(source, SOURCES), SOURCES + hashed(lang, LANGUAGES)]
-    unknown = size is None or size != size
-    for k, step in enumerate((STEPS - 1 if unknown else _step(size), _step(lines), _step(len(text) / lines))):
-        cells.append(SOURCES + LANGUAGES + k * STEPS + step)
-    return cells
+    step = STEPS - 1 if size is None or size != size else _step(size)
+    out = [hashed(source, SOURCES), SOURCES + hashed(lang, LANGUAGES), SOURCES + LANGUAGES + step]
+    for k, pair in enumerate(((source, lang), (source, step), (lang, step))):
+        out.append(SOURCES + LANGUAGES + STEPS + k * PAIRS + hashed(repr(pair), PAIRS + 1))
+    return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -200,7 +199,7 @@ def _features(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[int]]]:
     """(text, set buckets) for each row of columns text, source, lang, size after the first."""
     texts = (x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column(1).cast(pa.binary()))
     for text, source, lang, size in zip(texts, *(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-        yield text, meta_cells(text, source, lang, size)
+        yield text, meta_cells(source, lang, size)
 
 
 def _rows(df: DataFrame, text: str, source: str, lang: str, size: str, id_col: str) -> DataFrame:
