@@ -53,7 +53,8 @@ def loop(rows, q_of, v_of, q_default, principal=False, ci=False):
             r = r if six else r[:3, :3]
             s = h @ cov @ h.T + r
             k = cov @ h.T @ np.linalg.inv(s)
-            mean, cov = mean + k @ ((m if six else m[:3]) - h @ mean), cov - k @ s @ k.T
+            a = np.eye(6) - k @ h
+            mean, cov = mean + k @ ((m if six else m[:3]) - h @ mean), a @ cov @ a.T + k @ r @ k.T
         out.append((mean, cov))
     return out
 

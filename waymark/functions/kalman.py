@@ -58,11 +58,16 @@ def inverse(a: np.ndarray) -> np.ndarray:
 
 
 def update(mean: np.ndarray, cov: np.ndarray, z: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Kalman update by measurements of the first m components, m being z's width."""
+    """Kalman update by measurements of the first m components, m being z's width.
+
+    The covariance is the sum of two positive parts (Joseph's form): after a long prediction it is many orders larger than what is left of
+    it, and a difference would keep few digits."""
     m = z.shape[1]
-    s = cov[:, :m, :m] + r
-    gain = cov[:, :, :m] @ inverse(s)
-    return mean + np.einsum("nij,nj->ni", gain, z - mean[:, :m]), cov - gain @ s @ gain.transpose(0, 2, 1)
+    gain = cov[:, :, :m] @ inverse(cov[:, :m, :m] + r)
+    keep = np.broadcast_to(np.eye(6), cov.shape).copy()
+    keep[:, :, :m] -= gain
+    new = keep @ cov @ keep.transpose(0, 2, 1) + gain @ r @ gain.transpose(0, 2, 1)
+    return mean + np.einsum("nij,nj->ni", gain, z - mean[:, :m]), (new + new.transpose(0, 2, 1)) / 2
 
 
 def intersect(a: np.ndarray, pa: np.ndarray, b: np.ndarray, pb: np.ndarray, omega: float | None = None) -> tuple[np.ndarray, np.ndarray]:
