@@ -1,4 +1,5 @@
 import json
+import time
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from waymark.operators import tracks
 from waymark.sources.feeds import report_stream
 from waymark.sources.tables import KeyedSink
 from waymark.streaming import stateful
+from waymark.streaming.ownership import PrincipalOwnership
 
 
 def run_stream(spark, df, cut, make, tmp_path, name):
@@ -108,3 +110,55 @@ def test_reports_to_a_keyed_table(spark, tmp_path):
     stream = report_stream(spark, str(folder), schema, max_files=1).writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
     stream.awaitTermination()
     assert sorted(map(tuple, sink.read(spark).collect())) == [(1, 1.0, 5.0), (2, 2.0, None)]
+
+
+def test_ownership_over_batches(spark, tmp_path):
+    """A superseded component moves to its root's track, keeps away from one of another environment, and starts anew when it is restored."""
+    maps = [[], [("b", "a"), ("c", "a")], [("c", "a")]]
+    names = ", ".join(f"{n} double" for n in tracks.MEASURED)
+    nothing = [float("nan")] * (len(tracks.MEASURED) - 3)
+
+    def events(number):
+        rows = [(f"track-{item}", item, env, 100.0 * number + k, 10 * number + k, 1.0 + k, 2.0, 3.0, *nothing) for k, (item, env) in enumerate([("a", "AIR"), ("b", "air"), ("c", "GROUND")])]
+        return spark.createDataFrame(rows, f"track string, item string, environment string, t double, seq long, {names}")
+
+    now = []
+    own = PrincipalOwnership(str(tmp_path / "own"), lambda: spark.createDataFrame(now, "id string, root string"), buckets=4)
+    for number, now in enumerate(maps):
+        own(events(number), number)
+        if number == 1:
+            own(events(number), number)  # a batch that is run again
+    changed = [{tuple(r) for r in spark.read.parquet(f"{tmp_path}/own/changed/batch={n}").select("track", "principal").collect()} for n in range(3)]
+    # c's environment isn't its root's
+    assert changed == [{("track-a", "a"), ("track-b", "b"), ("track-c", "c")}, {("track-b", "a")}, {("track-b", "b")}]
+    rows = spark.read.parquet(f"{tmp_path}/own/events")
+    assert {r["track"] for r in rows.filter("reset").collect()} == {"a", "b"}
+    assert {(r["root"], r["environment"]) for r in own.owners.read(spark).collect()} >= {("a", "AIR"), ("b", "AIR"), ("c", "GROUND")}
+    # batch by batch through the filter: after the reset the tracks' states are new ones, with the measurement's own covariance
+    cut = [F.col("batch") == n for n in range(3)]
+    fused = run_stream(spark, rows, cut, stateful.principal_stream, tmp_path, "p").toPandas().sort_values(["track", "seq"])
+    assert fused["track"].tolist() == ["a"] * 4 + ["b"] * 2 + ["c"] * 3
+    assert fused[fused["track"] == "a"]["seq"].tolist() == [0, 10, 11, 20]
+    restarted = stateful.principal_stream(rows.filter("batch = 2")).toPandas().set_index(["track", "seq"])
+    for key in (("a", 20), ("b", 21)):
+        np.testing.assert_allclose(fused.set_index(["track", "seq"]).loc[key][list(tracks.OUT)].astype(float), restarted.loc[key][list(tracks.OUT)].astype(float))
+
+
+def test_keys_expire(spark, tmp_path):
+    """A stream with expiry is one that goes on: it looks for what has expired without new data, so it has no end to wait for."""
+    folder = str(tmp_path / "x")
+    df = spark.createDataFrame([("k", i, float(i)) for i in range(6)], "k string, seq int, t double").withColumn("at", F.col("t").cast("timestamp"))
+    df.coalesce(1).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{folder}/in")
+    out = stateful.rate_limited(stream, "k", interval_seconds=2, expire_seconds=1)
+    query = out.writeStream.format("memory").queryName("expiring").option("checkpointLocation", f"{folder}/check").trigger(processingTime="1 second").start()
+    try:
+        began, states = time.monotonic(), []
+        while time.monotonic() - began < 120 and not (len(states) > 1 and max(states) == 1 and states[-1] == 0):
+            time.sleep(0.5)
+            progress = query.lastProgress
+            if progress and progress["stateOperators"]:
+                states.append(progress["stateOperators"][0]["numRowsTotal"])
+        assert sorted(r["seq"] for r in spark.table("expiring").collect()) == [0, 2, 4] and states[-1] == 0
+    finally:
+        query.stop()

@@ -149,6 +149,39 @@ def principal_keys(components: DataFrame, environment_guard: bool = True) -> Dat
     return joined.withColumn("principal", F.when(F.coalesce(apart, F.lit(False)), F.col("item")).otherwise(F.col("root"))).drop("__wm_root", "__wm_env")
 
 
+def assign_principals(components: DataFrame, roots: DataFrame, owners: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(components with root and principal, owners): the same batch by batch, for events whose supersede map changes between batches.
+
+    components: item, environment, t, seq; roots: (id, root), null for deleted entities, whose events go; owners: (root, environment) of the
+    fused tracks known so far. A root keeps the environment that it first had; new ones have that of their first event here."""
+    known = roots.select(F.col("id").alias("__wm_id"), F.col("root").alias("__wm_to"), F.lit(True).alias("__wm_in"))
+    rows = components.join(known, F.col("item") == F.col("__wm_id"), "left").filter(F.col("__wm_in").isNull() | F.col("__wm_to").isNotNull())
+    rows = rows.withColumn("root", F.coalesce("__wm_to", "item")).drop("__wm_id", "__wm_to", "__wm_in")
+    environment = F.when(F.trim("environment") != "", F.upper("environment"))
+    first = rows.groupBy("root").agg(F.min_by(environment, F.when(environment.isNotNull(), F.struct("t", "seq"))).alias("environment"))
+    if owners is not None:
+        before = owners.select(F.col("root").alias("__wm_root"), F.col("environment").alias("__wm_env"))
+        first = first.join(before, F.col("root") == F.col("__wm_root"), "full").select(F.coalesce("root", "__wm_root").alias("root"), F.coalesce("__wm_env", "environment").alias("environment"))
+    own = first.select(F.col("root").alias("__wm_root"), F.col("environment").alias("__wm_env"))
+    joined = rows.join(own, F.col("root") == F.col("__wm_root"), "left")
+    apart = (F.col("item") != F.col("root")) & environment.isNotNull() & F.col("__wm_env").isNotNull() & (environment != F.col("__wm_env"))
+    return joined.withColumn("principal", F.when(F.coalesce(apart, F.lit(False)), F.col("item")).otherwise(F.col("root"))).drop("__wm_root", "__wm_env"), first
+
+
+def discarded_principals(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(principal): fused tracks whose state ends when the supersede map (id, root) changes from one to the other. An entity that isn't in
+    it any more was restored; what its events did to the track it was in can't be taken back, so both tracks start anew."""
+    restored = before.join(after.select("id"), "id", "left_anti")
+    return restored.select(F.explode(F.array("id", "root")).alias("principal")).filter("principal is not null").distinct()
+
+
+def reassociated(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(track, principal) of `after` that are new or not as in `before`: what is written back to the components' heads."""
+    old = before.select(F.col("track").alias("__wm_track"), F.col("principal").alias("__wm_old"))
+    joined = after.join(old, F.col("track") == F.col("__wm_track"), "left")
+    return joined.filter(~F.col("principal").eqNullSafe(F.col("__wm_old"))).drop("__wm_track", "__wm_old")
+
+
 def principal_tracks(components: DataFrame, method: str = "ci", omega: float | None = None) -> DataFrame:
     """Fused track events of component track events (columns of OUT, t, seq, environment, principal): a filter per principal key."""
     measured = components.select(F.col("principal").alias("track"), "t", "seq", "environment", *MEASURED)

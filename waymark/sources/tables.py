@@ -134,8 +134,9 @@ class KeyedSink:
         paths = [f"{self.folder}/rows/write={n}/bucket={k}" for k, n in sorted(manifest.items())]
         return spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        versions = self.versions(spark)
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
+        """The last version; before: the last one of an earlier batch, for a batch that may have been written in part."""
+        versions = [v for v in self.versions(spark) if before is None or v < before]
         return self._read(spark, self.manifest(spark, versions[-1])) if versions else None
 
     def __call__(self, batch: DataFrame, number: int) -> None:

@@ -25,7 +25,8 @@ def keyed_state(df: DataFrame, keys: list[str], out: str, state: str, step: Step
     """Rows through `step(rows of one key in order, state or None) -> (rows out, new state)`; a stream keeps the state, a batch starts without.
 
     expire_seconds: a stream forgets a key that has had no rows for so long by the clock, so that the store doesn't grow with keys
-    that are gone; a key that comes back starts anew."""
+    that are gone; a key that comes back starts anew. Such a stream looks for expired keys without new data, so it is run with a trigger that
+    goes on, not `availableNow`."""
     if not df.isStreaming:
         def whole(pdf: pd.DataFrame) -> pd.DataFrame:
             return step(pdf.sort_values(seq, kind="stable").reset_index(drop=True), None)[0]
