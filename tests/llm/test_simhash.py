@@ -216,9 +216,13 @@ def test_verification_by_parts(spark, monkeypatch):
     """A hub's edges dealt over several parts give the same edges."""
     from waymark.llm import simhash
 
+    from waymark.llm import common
+
     monkeypatch.setattr(simhash, "HUB", 3)
+    monkeypatch.setattr(common, "LIGHT", 2)
+    monkeypatch.setattr(common, "FEW", 20)
     rng = np.random.default_rng(13)
-    sets = {p: np.unique(rng.integers(0, 40, 30).astype("<u8")) for p in range(-5, 30)}
+    sets = {p: np.unique(rng.integers(0, 40, 30).astype("<u4")) for p in range(-5, 30)}
     frame = spark.createDataFrame([(p, s.tobytes()) for p, s in sets.items()], "print long, shingles binary")
     edges = {(max(a, b), min(a, b)) for a, b in rng.integers(-5, 30, (150, 2)).tolist() if a != b} | {(k, -5) for k in range(30)}
     got = simhash.verified(spark.createDataFrame(list(edges), "u long, v long"), frame, 0.35)

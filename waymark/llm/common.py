@@ -153,15 +153,16 @@ def even_join(rows: DataFrame, unique: DataFrame, key: str, counts: DataFrame, s
     all rows counted (fewer than `FEW` keys, which bounds what is broadcast) are divided: their rows are dealt over parts by the
     hash of `salt`, and their unique row is copied to each part. No part has more than about max(LIGHT, rows / FEW) rows,
     and no adaptive rule is needed. Rows of a null key find nothing."""
-    many = stored(counts.select(F.col(key).alias("heavy_key"), "n").filter(F.col("n") > LIGHT), "heavy")
-    total, most = many.agg(F.sum("n"), F.max("n")).first()
+    many = stored(counts.select(F.col(key).alias("__wm_key"), F.col("n").alias("__wm_n")).filter(F.col("__wm_n") > LIGHT), "heavy")
+    total, most = many.agg(F.sum("__wm_n"), F.max("__wm_n")).first()
     part = max(LIGHT, (total or 0) // FEW)
     if not most or most <= part:
         return rows.join(unique, key, how)
-    heavy = F.broadcast(many.filter(F.col("n") > part).select("heavy_key", F.ceil(F.col("n") / part).cast("int").alias("parts")))
-    dealt = rows.join(heavy, rows[key] == F.col("heavy_key"), "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(salt), F.col("parts")).cast("int"), F.lit(0)))
-    copied = unique.join(heavy, unique[key] == F.col("heavy_key"), "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)))))
-    return dealt.drop("heavy_key", "parts").join(copied.drop("heavy_key", "parts"), [key, "part"], how).drop("part")
+    heavy = F.broadcast(many.filter(F.col("__wm_n") > part).select("__wm_key", F.ceil(F.col("__wm_n") / part).cast("int").alias("__wm_parts")))
+    parts = F.coalesce(F.col("__wm_parts"), F.lit(1))
+    dealt = rows.join(heavy, rows[key] == F.col("__wm_key"), "left").withColumn("__wm_part", F.pmod(F.xxhash64(salt), parts).cast("int"))
+    copied = unique.join(heavy, unique[key] == F.col("__wm_key"), "left").withColumn("__wm_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.drop("__wm_key", "__wm_parts").join(copied.drop("__wm_key", "__wm_parts"), [key, "__wm_part"], how).drop("__wm_part")
 
 
 def hashable(df: DataFrame) -> list[Column]:

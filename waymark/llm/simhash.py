@@ -264,13 +264,14 @@ def double_fingerprints(df: DataFrame, text: str, id_col: str, words: int) -> Da
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """(print, shingles): the sorted hashes of each text's distinct shingles, as bytes; texts: (print, text)."""
+    """(print, shingles): the sorted 32-bit hashes of each text's distinct shingles, as bytes; texts: (print, text). Half of the 64 bits are
+    enough to count what two texts have in common (two of n shingles are confounded with odds of n * n in 2**33)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 some = batch.slice(at, 1000)
-                found = [shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", words).tobytes() for x in some.column(1).cast(pa.binary())]
+                found = [np.unique(shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", words).astype("<u4")).tobytes() for x in some.column(1).cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["print", "shingles"])
 
     return texts.select("print", "text").transform(mapped, run, "print long, shingles binary")
@@ -305,13 +306,13 @@ def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     leaves = even_join(placed, sets.withColumnRenamed("print", "leaf"), "leaf", counts, F.col("hub"), "inner").select("hub", F.pmod(F.xxhash64("leaf"), F.col("parts")).cast("int").alias("part"), "leaf", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, own = None, np.empty(0, "<u8")
+        at, own = None, np.empty(0, "<u4")
         for batch in batches:
             us, vs = [], []
             for hub, part, leaf, shingles in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if leaf is None:
-                    at, own = (hub, part), np.frombuffer(shingles, "<u8")
-                elif (hub, part) == at and jaccard(own, np.frombuffer(shingles, "<u8")) >= similarity:
+                    at, own = (hub, part), np.frombuffer(shingles, "<u4")
+                elif (hub, part) == at and jaccard(own, np.frombuffer(shingles, "<u4")) >= similarity:
                     us.append(hub)
                     vs.append(leaf)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
