@@ -153,6 +153,25 @@ def test_smoother_is_the_least_squares_solution():
     np.testing.assert_allclose(c[2], np.linalg.inv(h)[12:18, 12:18], rtol=1e-6, atol=1e-6)
 
 
+@pytest.mark.parametrize("complete", [False, True])
+def test_pieces_are_smoothed_as_in_whole_tracks(spark, complete):
+    rows = sample(8, 40, seed=3)
+    rows += [("still", 1000.0 + k * (2000 if k == 5 else 10), k, "AIR", 5e6 + k, 1.0, 2.0, 0.01, 0.0, 0.0, *[math.nan] * 12) for k in range(9)]
+    rows += [("moves", 1000.0 + k * 10 + (k > 4) * 5000, k, "AIR", 5e6 + k, 1.0, 2.0, 3.0 * (k > 6), 0.0, 0.0, *[400.0, 0, 0, 300, 0, 200], *[math.nan] * 6) for k in range(9)]
+    if complete:
+        rows = [(*r[:4], *[0.0 if v != v else v for v in r[4:]]) for r in rows if r[4] == r[4]]
+    got = tracks.smoothed(frame(spark, rows)).toPandas()
+    for k in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == k and r[4] == r[4]), key=lambda r: (r[1], r[2]))
+        a = np.array([r[4:16] for r in mine], float)
+        v, p = a[:, 3:6], a[:, 6:12]
+        t, m, c = kalman.smooth(np.array([r[1] for r in mine]), a[:, :3], None if np.isnan(v).any() else v, None if np.isnan(p).any() else tracks._symmetric(p))
+        found = got[got["track"] == k].sort_values(["t", "x"])
+        order = np.lexsort((m[:, 0], t))
+        np.testing.assert_allclose(found[list(tracks.STATE)].to_numpy(), m[order], rtol=1e-7, atol=1e-5)
+        np.testing.assert_allclose(found["v_dxdx"], c[order, 3, 3], rtol=1e-6)
+
+
 def test_smoother_edges():
     t, m, c = kalman.smooth(np.array([5.0]), np.ones((1, 3)), np.full((1, 3), 2.0))
     assert m.tolist() == [[1, 1, 1, 2, 2, 2]] and c[0, 0, 0] == 1e4

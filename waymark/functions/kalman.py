@@ -162,18 +162,19 @@ class Filter:
         return out, ~late if self.principal else np.ones(len(time), bool)
 
 
-def smooth(time: np.ndarray, position: np.ndarray, velocity: np.ndarray | None = None, covariance: np.ndarray | None = None, q: float = 1.0, position_noise: float = 100.0, velocity_noise: float = 10.0, max_gap: float = MAX_GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def smooth(time: np.ndarray, position: np.ndarray, velocity: np.ndarray | None = None, covariance: np.ndarray | None = None, q: float = 1.0, position_noise: float = 100.0, velocity_noise: float = 10.0, max_gap: float = MAX_GAP, moving: bool | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rauch-Tung-Striebel smoother of one track: (times, means, covariances), sorted by time.
 
     The track is cut where a gap is longer than `max_gap`; a piece of one point stays as it is. Velocities count if any is faster
-    than 0.1. covariance: (n, 3, 3) of each position, or else position_noise squared."""
+    than 0.1, or as `moving` says where only a piece of a track is given. covariance: (n, 3, 3) of each position, or else position_noise squared."""
     order = np.argsort(time, kind="stable")
     time, position = np.asarray(time, float)[order], np.asarray(position, float)[order]
     n = len(time)
     means, covs = np.zeros((n, 6)), np.broadcast_to(np.diag([position_noise**2] * 3 + [velocity_noise**2] * 3), (n, 6, 6)).copy()
     means[:, :3] = position
-    moving = velocity is not None and n and bool((np.linalg.norm(velocity, axis=1) > 0.1).any())
-    if velocity is not None and (moving or n == 1):
+    if moving is None:
+        moving = velocity is not None and n > 0 and (n == 1 or bool((np.linalg.norm(velocity, axis=1) > 0.1).any()))
+    if velocity is not None and moving:
         means[:, 3:] = np.asarray(velocity, float)[order]
     noise = np.broadcast_to(np.eye(3) * position_noise**2, (n, 3, 3)) if covariance is None else np.asarray(covariance, float)[order]
     cuts = [0, *(np.flatnonzero(np.diff(time) > max_gap) + 1).tolist(), n]

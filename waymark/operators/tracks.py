@@ -10,12 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import kalman
 from waymark.functions.kalman import Filter, States
-from waymark.functions.scalars import field, uuid5_hex
+from waymark.functions.scalars import field, finite, uuid5_hex
 
 POSITION_COV, VELOCITY_COV = ("xx", "xy", "xz", "yy", "yz", "zz"), ("dxdx", "dxdy", "dxdz", "dydy", "dydz", "dzdz")
 CROSS_COV = tuple(a + b for a in "xyz" for b in ("dx", "dy", "dz"))
@@ -207,20 +207,32 @@ def associations(components: DataFrame) -> DataFrame:
 
 
 def smoothed(measured: DataFrame, q: float = 1.0, position_noise: float = 100.0, velocity_noise: float = 10.0, max_gap: float = kalman.MAX_GAP) -> DataFrame:
-    """(track, t, x, y, z, dx, dy, dz, covariances): tracks smoothed over all their points; a track is one group."""
+    """(track, t, x, y, z, dx, dy, dz, covariances): tracks smoothed over all their points.
+
+    Pieces between gaps that are too long don't depend on each other, so a group is a piece, not a track; what holds for a track as a whole
+    (whether velocities and covariances are complete, whether it moves) comes along with its rows."""
     names = [*STATE, *(f"p_{n}" for n in POSITION_COV), *(f"v_{n}" for n in VELOCITY_COV), *(f"c_{n}" for n in CROSS_COV)]
+    v_names, p_names = STATE[3:], tuple(f"p_{n}" for n in POSITION_COV)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        good = pdf[np.isfinite(pdf[["x", "y", "z", "t"]].to_numpy(float)).all(axis=1)]
-        v, p = good[["dx", "dy", "dz"]].to_numpy(float), good[[f"p_{n}" for n in POSITION_COV]].to_numpy(float)
-        velocity = None if np.isnan(v).any() or not len(v) else v
-        own = None if np.isnan(p).any() or not len(p) else _symmetric(p)
-        t, m, c = kalman.smooth(good["t"].to_numpy(float), good[["x", "y", "z"]].to_numpy(float), velocity, own, q, position_noise, velocity_noise, max_gap)
+        pdf = pdf.sort_values(["t", "seq"], kind="stable")
+        first = pdf.iloc[0]
+        velocity = pdf[list(v_names)].to_numpy(float) if first["__wm_v"] else None
+        own = _symmetric(pdf[list(p_names)].to_numpy(float)) if first["__wm_p"] else None
+        t, m, c = kalman.smooth(pdf["t"].to_numpy(float), pdf[["x", "y", "z"]].to_numpy(float), velocity, own, q, position_noise, velocity_noise, max_gap, bool(first["__wm_moving"]))
         values = np.concatenate([m, *[c[:, i, j][:, None] for i, j in _UPPER], *[c[:, 3 + i, 3 + j][:, None] for i, j in _UPPER], c[:, :3, 3:].reshape(len(t), 9)], axis=1)
         out = pd.DataFrame(values, columns=names)
         out.insert(0, "t", t)
-        out.insert(0, "track", pdf["track"].iloc[0])
+        out.insert(0, "track", first["track"])
         return out
 
+    whole, order = Window.partitionBy("track"), Window.partitionBy("track").orderBy("t", "seq")
+    there = lambda columns: F.forall(F.array(*columns), lambda c: finite(c).isNotNull())
+    rows = measured.filter(F.col("track").isNotNull() & there(["x", "y", "z", "t"])).select("track", "t", "seq", *STATE, *p_names)
+    speed = F.sqrt(sum(F.col(c) * F.col(c) for c in v_names))
+    rows = rows.withColumn("__wm_v", F.min(there(v_names)).over(whole)).withColumn("__wm_p", F.min(there(p_names)).over(whole))
+    rows = rows.withColumn("__wm_moving", F.col("__wm_v") & (F.max(F.coalesce(speed > 0.1, F.lit(False))).over(whole) | (F.count(F.lit(1)).over(whole) == 1)))
+    rows = rows.withColumn("__wm_gap", F.coalesce(F.col("t") - F.lag("t").over(order) > max_gap, F.lit(False)).cast("int"))
+    rows = rows.withColumn("__wm_piece", F.sum("__wm_gap").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     kind = dict(measured.dtypes)["track"]
-    return measured.filter("track is not null").groupBy("track").applyInPandas(run, f"track {kind}, t double, " + ", ".join(f"{n} double" for n in names))
+    return rows.groupBy("track", "__wm_piece").applyInPandas(run, f"track {kind}, t double, " + ", ".join(f"{n} double" for n in names))
