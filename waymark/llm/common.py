@@ -157,6 +157,7 @@ def even_join(rows: DataFrame, unique: DataFrame, key: str, counts: DataFrame, s
     total, most = many.agg(F.sum("__wm_n"), F.max("__wm_n")).first()
     part = max(LIGHT, (total or 0) // FEW)
     if not most or most <= part:
+        discard(many)
         return rows.join(unique, key, how)
     heavy = F.broadcast(many.filter(F.col("__wm_n") > part).select("__wm_key", F.ceil(F.col("__wm_n") / part).cast("int").alias("__wm_parts")))
     parts = F.coalesce(F.col("__wm_parts"), F.lit(1))
