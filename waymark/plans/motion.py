@@ -213,8 +213,8 @@ _FILTER = filter_sql.component_filter()
 
 @query(f"""
 WITH RECURSIVE {_FILTER}
-SELECT track::VARCHAR AS track, seq, round(m[1], 2) AS x, round(m[2], 2) AS y, round(m[3], 2) AS z, round(m[4], 3) AS dx, round(m[5], 3) AS dy, round(m[6], 3) AS dz,
-  round(p[1]) AS p_xx, round(p[2]) AS p_xy, round(p[22], 1) AS v_dxdx, round(p[4]) AS c_xdx FROM k WHERE rank > 0
+SELECT track::VARCHAR AS track, seq, round(m[1], 2) + 0.0 AS x, round(m[2], 2) + 0.0 AS y, round(m[3], 2) + 0.0 AS z, round(m[4], 3) + 0.0 AS dx, round(m[5], 3) + 0.0 AS dy, round(m[6], 3) + 0.0 AS dz,
+  round(p[1]) + 0.0 AS p_xx, round(p[2]) + 0.0 AS p_xy, round(p[22], 1) + 0.0 AS v_dxdx, round(p[4]) + 0.0 AS c_xdx FROM k WHERE rank > 0
 """)
 def component_tracks(spark, folder):
     """A filter per track."""
