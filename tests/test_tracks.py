@@ -172,6 +172,35 @@ def test_pieces_are_smoothed_as_in_whole_tracks(spark, complete):
         np.testing.assert_allclose(found["v_dxdx"], c[order, 3, 3], rtol=1e-6)
 
 
+def test_many_short_pieces_side_by_side(spark):
+    """Pieces of up to a few points, over batches that end anywhere; a task calls the smoother for many pieces at once."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(60):
+        t = 0.0
+        for i in range(int(rng.integers(1, 30))):
+            t += float(rng.choice([5.0, 5.0, 2000.0]))
+            rows.append((f"k{k:02}", t, i, "AIR", *rng.normal(size=6).tolist(), *[math.nan if k % 3 == 0 else 400.0, 0.0, 0.0, 300.0, 0.0, 200.0], *[math.nan] * 6))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("1", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            smooth = tracks.smoothed(frame(spark, rows))
+            assert "FlatMapGroups" not in smooth._jdf.queryExecution().executedPlan().toString()
+            got = smooth.toPandas().sort_values(["track", "t"], kind="stable")
+            for k, found in got.groupby("track"):
+                a = np.array([[r[1], *r[4:16]] for r in rows if r[0] == k], float)
+                own = None if np.isnan(a[:, 7:]).any() else tracks._symmetric(a[:, 7:])
+                # a piece at a time
+                cuts = [0, *(np.flatnonzero(np.diff(a[:, 0]) > 900) + 1).tolist(), len(a)]
+                parts = [kalman.smooth(a[i:j, 0], a[i:j, 1:4], a[i:j, 4:7], None if own is None else own[i:j], moving=True) for i, j in zip(cuts, cuts[1:], strict=False)]
+                np.testing.assert_allclose(found[list(tracks.STATE)].to_numpy(), np.concatenate([p[1] for p in parts]), rtol=1e-9, atol=1e-9)
+                np.testing.assert_allclose(found["p_xy"], np.concatenate([p[2][:, 0, 1] for p in parts]), rtol=1e-9, atol=1e-9)
+            assert len(got) == len(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_smoother_edges():
     t, m, c = kalman.smooth(np.array([5.0]), np.ones((1, 3)), np.full((1, 3), 2.0))
     assert m.tolist() == [[1, 1, 1, 2, 2, 2]] and c[0, 0, 0] == 1e4

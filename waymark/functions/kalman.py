@@ -177,38 +177,44 @@ def smooth(time: np.ndarray, position: np.ndarray, velocity: np.ndarray | None =
     if velocity is not None and moving:
         means[:, 3:] = np.asarray(velocity, float)[order]
     noise = np.broadcast_to(np.eye(3) * position_noise**2, (n, 3, 3)) if covariance is None else np.asarray(covariance, float)[order]
-    cuts = [0, *(np.flatnonzero(np.diff(time) > max_gap) + 1).tolist(), n]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b - a >= 2:
-            v = means[a:b, 3:].copy() if moving else None
-            means[a:b], covs[a:b] = _smooth_piece(time[a:b], position[a:b], v, noise[a:b], q, velocity_noise)
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(time) > max_gap) + 1])
+    if n:
+        smooth_pieces(starts, time, means, covs, noise, np.full(len(starts), moving), q, velocity_noise)
     return time, means, covs
 
 
-def _smooth_piece(time, position, velocity, noise, q, velocity_noise):
-    n, width = len(time), 3 if velocity is None else 6
-    steps = np.maximum(np.diff(time), 0.001)
-    f, w = transition(steps), process_noise(steps, q)
-    means, covs = np.empty((n, 6)), np.empty((n, 6, 6))
-    v0 = (position[1] - position[0]) / max(time[1] - time[0], 0.01) if velocity is None else velocity[0]
-    means[0] = np.concatenate([position[0], v0])
-    covs[0] = np.diag([noise[0, 0, 0]] * 3 + [velocity_noise**2] * 3)
-    ahead_m, ahead_p = np.empty((n, 6)), np.empty((n, 6, 6))
-    for k in range(1, n):
-        ahead_m[k], ahead_p[k] = f[k - 1] @ means[k - 1], f[k - 1] @ covs[k - 1] @ f[k - 1].T + w[k - 1]
-        r = np.zeros((width, width))
-        r[:3, :3] = noise[k]
-        z = position[k]
-        if width == 6:
-            r[3:, 3:] = np.eye(3) * velocity_noise**2
-            z = np.concatenate([z, velocity[k]])
-        m, p = update(ahead_m[k][None], ahead_p[k][None], z[None], r[None])
-        means[k], covs[k] = m[0], p[0]
-    for k in range(n - 2, -1, -1):
-        gain = covs[k] @ f[k].T @ inverse(ahead_p[k + 1][None])[0]
-        means[k] = means[k] + gain @ (means[k + 1] - ahead_m[k + 1])
-        covs[k] = covs[k] + gain @ (covs[k + 1] - ahead_p[k + 1]) @ gain.T
-    return means, covs
+def smooth_pieces(starts: np.ndarray, time: np.ndarray, means: np.ndarray, covs: np.ndarray, noise: np.ndarray, moving: np.ndarray, q: float, velocity_noise: float) -> None:
+    """Smooths pieces side by side, a step for the k-th point of each, in place; pieces of one point stay as they are.
+
+    starts: the first row of each piece, whose rows are sorted by time; means: positions, and velocities where `moving` says (by piece) that
+    they are measured; noise: (n, 3, 3) of positions. Memory and time are in proportion to the rows; steps are those of the longest piece."""
+    size = np.diff(np.append(starts, len(time)))
+    ahead_m, ahead_p = np.empty_like(means), np.empty_like(covs)
+    for width in (3, 6):
+        some = np.flatnonzero((size >= 2) & (moving == (width == 6)))
+        if not len(some):
+            continue
+        some = some[np.argsort(-size[some], kind="stable")]  # those that go on at a step are the first ones
+        first, left = starts[some], size[some]
+        longest = int(left[0])
+        active = len(left) - np.searchsorted(left[::-1], np.arange(longest), side="right")
+        if width == 3:
+            means[first, 3:] = (means[first + 1, :3] - means[first, :3]) / np.maximum(time[first + 1] - time[first], 0.01)[:, None]
+        covs[first] = np.diag([0.0] * 3 + [velocity_noise**2] * 3) + noise[first, 0, 0][:, None, None] * np.diag([1.0] * 3 + [0.0] * 3)
+        for k in range(1, longest):
+            rows = first[: active[k]] + k
+            ahead_m[rows], ahead_p[rows] = predict(means[rows - 1], covs[rows - 1], np.maximum(time[rows] - time[rows - 1], 0.001), q)
+            r = np.zeros((len(rows), width, width))
+            r[:, :3, :3] = noise[rows]
+            if width == 6:
+                r[:, 3:, 3:] = np.eye(3) * velocity_noise**2
+            means[rows], covs[rows] = update(ahead_m[rows], ahead_p[rows], means[rows, :width], r)
+        for k in range(longest - 2, -1, -1):
+            rows = first[: active[k + 1]] + k
+            f = transition(np.maximum(time[rows + 1] - time[rows], 0.001))
+            gain = covs[rows] @ f.transpose(0, 2, 1) @ inverse(ahead_p[rows + 1])
+            means[rows] += np.einsum("nij,nj->ni", gain, means[rows + 1] - ahead_m[rows + 1])
+            covs[rows] += gain @ (covs[rows + 1] - ahead_p[rows + 1]) @ gain.transpose(0, 2, 1)
 
 
 def evaluate(time: np.ndarray, means: np.ndarray, covs: np.ndarray, at: np.ndarray, q: float = 1.0, max_extrapolate: float = 30.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -209,23 +209,52 @@ def associations(components: DataFrame) -> DataFrame:
 def smoothed(measured: DataFrame, q: float = 1.0, position_noise: float = 100.0, velocity_noise: float = 10.0, max_gap: float = kalman.MAX_GAP) -> DataFrame:
     """(track, t, x, y, z, dx, dy, dz, covariances): tracks smoothed over all their points.
 
-    Pieces between gaps that are too long don't depend on each other, so a group is a piece, not a track; what holds for a track as a whole
-    (whether velocities and covariances are complete, whether it moves) comes along with its rows."""
+    Pieces between gaps that are too long don't depend on each other, so rows are dealt out by piece, not by track; what holds for a track as
+    a whole (whether velocities and covariances are complete, whether it moves) comes along with its rows. A task smooths many pieces side
+    by side; its memory is a batch of rows, or the longest piece."""
     names = [*STATE, *(f"p_{n}" for n in POSITION_COV), *(f"v_{n}" for n in VELOCITY_COV), *(f"c_{n}" for n in CROSS_COV)]
-    v_names, p_names = STATE[3:], tuple(f"p_{n}" for n in POSITION_COV)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "seq"], kind="stable")
-        first = pdf.iloc[0]
-        velocity = pdf[list(v_names)].to_numpy(float) if first["__wm_v"] else None
-        own = _symmetric(pdf[list(p_names)].to_numpy(float)) if first["__wm_p"] else None
-        t, m, c = kalman.smooth(pdf["t"].to_numpy(float), pdf[["x", "y", "z"]].to_numpy(float), velocity, own, q, position_noise, velocity_noise, max_gap, bool(first["__wm_moving"]))
-        values = np.concatenate([m, *[c[:, i, j][:, None] for i, j in _UPPER], *[c[:, 3 + i, 3 + j][:, None] for i, j in _UPPER], c[:, :3, 3:].reshape(len(t), 9)], axis=1)
+    v_names, p_names = list(STATE[3:]), [f"p_{n}" for n in POSITION_COV]
+
+    def whole_pieces(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        n, time = len(pdf), pdf["t"].to_numpy(float)
+        moving = pdf["__wm_moving"].to_numpy(bool)
+        means = np.concatenate([pdf[["x", "y", "z"]].to_numpy(float), np.where(moving[:, None], pdf[v_names].to_numpy(float), 0.0)], axis=1)
+        noise = np.where(pdf["__wm_p"].to_numpy(bool)[:, None, None], _symmetric(pdf[p_names].to_numpy(float)), np.eye(3) * position_noise**2)
+        c = np.broadcast_to(np.diag([position_noise**2] * 3 + [velocity_noise**2] * 3), (n, 6, 6)).copy()
+        kalman.smooth_pieces(starts, time, means, c, noise, moving[starts], q, velocity_noise)
+        values = np.concatenate([means, *[c[:, i, j][:, None] for i, j in _UPPER], *[c[:, 3 + i, 3 + j][:, None] for i, j in _UPPER], c[:, :3, 3:].reshape(n, 9)], axis=1)
         out = pd.DataFrame(values, columns=names)
-        out.insert(0, "t", t)
-        out.insert(0, "track", first["track"])
+        out.insert(0, "t", time)
+        out.insert(0, "track", pdf["track"].to_numpy())
         return out
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def out() -> pd.DataFrame:
+            pdf = pd.concat(held, ignore_index=True)
+            return whole_pieces(pdf, np.flatnonzero(begins(pdf)))
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            cut = int(np.flatnonzero(begins(pdf))[-1])  # the last piece may go on in the next batch
+            tail = held[-1].iloc[-1] if held else None
+            joined = tail is not None and tail["track"] == pdf["track"].iloc[0] and tail["__wm_piece"] == pdf["__wm_piece"].iloc[0]
+            if cut or not joined:
+                held.append(pdf.iloc[:cut])
+                if sum(map(len, held)):
+                    yield out()
+                held = [pdf.iloc[cut:]]
+            else:
+                held.append(pdf)
+        if held:
+            yield out()
+
+    def begins(pdf: pd.DataFrame) -> np.ndarray:
+        track, piece = pdf["track"].to_numpy(), pdf["__wm_piece"].to_numpy()
+        return np.concatenate([[True], (track[1:] != track[:-1]) | (piece[1:] != piece[:-1])])
+
     whole, order = Window.partitionBy("track"), Window.partitionBy("track").orderBy("t", "seq")
     there = lambda columns: F.forall(F.array(*columns), lambda c: finite(c).isNotNull())
     rows = measured.filter(F.col("track").isNotNull() & there(["x", "y", "z", "t"])).select("track", "t", "seq", *STATE, *p_names)
@@ -235,4 +264,5 @@ def smoothed(measured: DataFrame, q: float = 1.0, position_noise: float = 100.0,
     rows = rows.withColumn("__wm_gap", F.coalesce(F.col("t") - F.lag("t").over(order) > max_gap, F.lit(False)).cast("int"))
     rows = rows.withColumn("__wm_piece", F.sum("__wm_gap").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     kind = dict(measured.dtypes)["track"]
-    return rows.groupBy("track", "__wm_piece").applyInPandas(run, f"track {kind}, t double, " + ", ".join(f"{n} double" for n in names))
+    ordered = rows.repartition("track", "__wm_piece").sortWithinPartitions("track", "__wm_piece", "t", "seq")
+    return ordered.mapInPandas(run, f"track {kind}, t double, " + ", ".join(f"{n} double" for n in names))
