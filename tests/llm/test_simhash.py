@@ -227,3 +227,48 @@ def test_verification_by_parts(spark, monkeypatch):
     edges = {(max(a, b), min(a, b)) for a, b in rng.integers(-5, 30, (150, 2)).tolist() if a != b} | {(k, -5) for k in range(30)}
     got = simhash.verified(spark.createDataFrame(list(edges), "u long, v long"), frame, 0.35)
     assert sorted(map(tuple, got.collect())) == sorted((u, v) for u, v in edges if simhash.jaccard(sets[u], sets[v]) >= 0.35)
+
+
+def test_similar_documents_lose_no_link(spark):
+    """Pairs at the threshold, and a group of variants under shingles that more texts have than are compared in all pairs at once."""
+    rng = np.random.default_rng(21)
+    words, texts = [f"w{i}" for i in range(5000)], []
+    for _ in range(200):  # 9 of 81 shingles differ on either side: 72 of 90 in common; or 10 of them
+        base = list(rng.choice(words, 85, replace=False))
+        texts += [" ".join(base), " ".join([*base[: -9 - int(rng.integers(0, 2))], *(f"x{rng.integers(10**6)}" for _ in range(9))])]
+    base = list(rng.choice(words, 300, replace=False))
+    for _ in range(3 * simhash.BULK):
+        text = list(base)
+        for at in rng.integers(5, 290, int(rng.integers(1, 12))):
+            text[at] = f"y{rng.integers(10**6)}"
+        texts.append(" ".join(text))
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    linked = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if alike(sets[i], sets[j]):
+                linked += 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    truth = {i: find(i) for i in range(len(texts))}
+    assert linked > 500 and 100 < len(set(truth.values())) < len(texts) - 100
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["id"]: r["component"] for r in similar_documents(frame).collect()} == truth
+
+
+def test_folded_bitmaps_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(22)
+    for n, m in ((3, 5), (700, 900), (40, 5000)):
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 2**64, m, dtype=np.uint64)]))
+        x, y = simhash.parity(a), simhash.parity(b)
+        assert len(x) * 8 >= max(1024, 2 * len(a)) and np.array_equal(simhash.folded(y, 128), np.packbits(np.bincount(b & np.uint64(1023), minlength=1024).astype(np.uint8) & 1))
+        size = min(len(x), len(y))
+        assert np.bitwise_count(simhash.folded(x, size) ^ simhash.folded(y, size)).sum() <= len(np.setxor1d(a, b))

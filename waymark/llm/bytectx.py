@@ -13,6 +13,8 @@ import numpy as np
 DEPTH = 3
 #: Texts are laid end to end in blocks of about so many bytes; a longer text goes through several blocks.
 BLOCK = 1 << 20
+#: The same when texts are scored, where a position takes some 50 bytes and more with many languages.
+SCORED = 1 << 18
 
 
 class Contexts:
@@ -38,17 +40,17 @@ class Contexts:
         return (state << 8) | data[3:]
 
 
-def blocks(texts: list[bytes], tail: bytes = b"", depth: int = DEPTH) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]]]]:
+def blocks(texts: list[bytes], tail: bytes = b"", depth: int = DEPTH, size_limit: int | None = None) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]]]]:
     """(data, spans): bytes with `depth` before each part, and (text, from, to) of the parts in terms of data[depth:]."""
-    held, spans, size = [], [], 0
+    held, spans, size, limit = [], [], 0, size_limit or BLOCK
     for k, text in enumerate(texts):
         text += tail
-        for at in range(0, len(text), BLOCK):
-            part = text[at : at + BLOCK]
+        for at in range(0, len(text), limit):
+            part = text[at : at + limit]
             held += [text[max(0, at - depth) : at].rjust(depth, b"\0"), part]
             spans.append((k, size, size + len(part)))
             size += depth + len(part)
-            if size >= BLOCK:
+            if size >= limit:
                 yield np.frombuffer(b"".join(held), np.uint8), spans
                 held, spans, size = [], [], 0
     if held:
@@ -67,7 +69,7 @@ def inside(spans: list[tuple[int, int, int]], n: int) -> np.ndarray:
 def totals(texts: list[bytes], contexts, table: np.ndarray, tail: bytes = b"") -> np.ndarray:
     """For each text the sum of the table's rows at contexts.cells of its bytes."""
     out = np.zeros((len(texts), table.shape[1]))
-    for data, spans in blocks(texts, tail, contexts.depth):
+    for data, spans in blocks(texts, tail, contexts.depth, min(BLOCK, SCORED)):
         values = table[contexts.cells(data)]
         bounds = np.array([s[1:] for s in spans]).ravel()
         if bounds[-1] == len(values):

@@ -58,24 +58,32 @@ def remember(owner: str, forget: Callable[[], object]) -> None:
 
 
 def tidy(run: Callable[[Iterable], Iterator], owner: str = "") -> Callable[[Iterable], Iterator]:
-    """Of a function on batches: other owners' memories are forgotten when a task begins, and memory is given back to the
-    system when it ends, as workers live on and share a machine."""
+    """Of a function on batches: other owners' memories are forgotten and given back to the system when a task begins, as
+    its own memory is when it ends, as workers live on and share a machine."""
 
     @wraps(run)
     def tidied(batches: Iterable) -> Iterator:
-        for other in [o for o in _REMEMBERED if o != owner]:
+        others = [o for o in _REMEMBERED if o != owner]
+        for other in others:
             _REMEMBERED.pop(other)()
+        if others:
+            release()
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            release()
 
     return tidied
 
 
+def release() -> None:
+    """Gives a worker's free memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 #: Bytes of a batch of rows for Python. By default a batch has 10 000 rows and up to 64 MB, which with long texts is held several times over.
 BATCH = "4m"
 

@@ -13,12 +13,13 @@ fingerprint with those not yet reached, and stops when all are. That gives a spa
 members) of the same components as all pairs, so neither dense groups nor common keys multiply the output. A key's
 members take 8 bytes each in the task.
 
-`similar_documents` is for whole similarities: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-At that similarity about 10 of 64 bits differ, more than any few keys can promise, so a text has two fingerprints of 64 bits (of its
-distinct shingles), both keyed. Two segments of one of them share an index for 92 of 100 pairs at 0.8, 97 at 0.85 and 99 at
-0.9 (binomial, in the tests); members of a key within `near_bits` of all 128 bits (999 of 1000 pairs at 0.8) are candidates. Each candidate is then verified on the whole
-shingle sets, so nothing less similar is linked. Keys of up to `BULK` members give all their candidates, larger ones a spanning forest of
-them (a link that only a larger key has and whose place in the forest is taken by a candidate that fails is missed).
+`similar_documents` is for whole similarities: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, without
+exception. Shingles are put in one order for all texts, rare ones first: a set of n of which another has so many in common shares one of its
+first n - ceil(0.8 n) + 1 with the other's first ones (its prefix), whatever the order. So texts meet at the shingles of their prefixes, and
+pairs whose sizes and places allow the similarity are verified on the whole sets of 64-bit hashes. Under a shingle of up to `BULK` texts
+all pairs are candidates. Under a more frequent one the texts first meet around hubs; then all pairs that aren't in one component yet are
+candidates. No pair is verified whose parity bitmaps differ in more bits than such sets can. So a large group of near copies costs few pairs, and no
+link is lost but between texts that others link already. Which shingles count as frequent comes from a sample; that decides the cost only.
 
 Null and empty texts, and texts of white space, have fingerprint zero and link like any other. Fewer words than a shingle count as
 one shingle. Ties between the counts of ones and zeros give zero. Repeated rows each get their row. A null id is never
@@ -45,8 +46,13 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 #: Generator polynomial of the binary Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 POLYNOMIAL = 0b101011100011
 SMALL = 8
-#: Keys of up to so many members are compared in all pairs for candidates to verify.
-BULK = 64
+#: Under a shingle of up to so many texts all pairs are candidates at once.
+BULK = 32
+#: Texts of the sample that tells frequent shingles, in how many of these such a shingle is, and the most that are kept (8 bytes each).
+SAMPLE, OFTEN, FREQUENT = 5000, 3, 1 << 17
+#: Least bits of a set's parity bitmap: each shingle flips one, so two sets differ in at least as many shingles as their bitmaps in bits.
+#: A bitmap has at least two bits a shingle; folded (halves added up bit by bit) it is the bitmap of half the size.
+PARITY = 1024
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int = 42) -> Iterator[np.ndarray]:
@@ -86,15 +92,6 @@ def shingle_set(text: bytes | None, words: int = 5) -> np.ndarray:
     return np.unique(np.concatenate([np.empty(0, "<u8"), *shingle_hashes(text, words)]))
 
 
-def double_fingerprint(text: bytes | None, words: int = 5) -> tuple[int, int]:
-    """Majority bits of the distinct shingles' hashes, and of the hashes mixed once more."""
-    hashes = shingle_set(text, words)
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(32)
-    return _majority(_ones(hashes), len(hashes)), _majority(_ones(mixed), len(hashes))
-
-
 def _remainder(vectors: np.ndarray) -> np.ndarray:
     """Of 23-bit vectors as polynomials, divided by the code's: the syndrome."""
     out = vectors.copy()
@@ -250,28 +247,199 @@ def _links(prints: DataFrame, columns: list[str], distance: int, small: int) ->
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def double_fingerprints(df: DataFrame, text: str, id_col: str, words: int) -> DataFrame:
-    """(id, print, check, body) for every row."""
+def frequent_shingles(df: DataFrame, text: str, words: int) -> np.ndarray:
+    """Sorted hashes of shingles that several texts of a sample by hash have; at most `FREQUENT`, the most frequent ones."""
+    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    share = min(1.0, SAMPLE / max(1, df.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column(1).cast(pa.binary())]
-            both = np.array([double_fingerprint(x, words) for x in texts], np.uint64).reshape(-1, 2).view(np.int64)
-            bodies = np.array([xxhash.xxh64_intdigest(x, 42) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(bodies)], names=["id", "print", "check", "body"])
+            for x in batch.column(0).cast(pa.binary()):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", words).view(np.int64))], names=["token"])
+
+    drawn = df.filter(F.pmod(body, F.lit(1_000_003)) < share * 1_000_003).select(F.col(text).alias("text")).distinct()
+    counted = drawn.transform(mapped, run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= OFTEN)
+    found = counted.orderBy(F.desc("c"), "token").limit(FREQUENT).select("token").toArrow()["token"].to_numpy()
+    return np.sort(found.view(np.uint64))
+
+
+def prefix_size(n: np.ndarray | int, similarity: float):
+    """So many first shingles of a set of n hold one of those that it has in common with any set of that similarity."""
+    return np.where(np.asarray(n) > 0, n - np.ceil(similarity * np.asarray(n) - 1e-9) + 1, 0).astype(np.int64)
+
+
+def _may(n: np.ndarray, pos: np.ndarray, m: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m shingles that meet first at these places of theirs can be so similar."""
+    most = 1 + np.minimum(n - pos, m - at) - 1
+    return most * (1 + similarity) >= similarity * (n + m) - 1e-6
+
 
-    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, "id long, print long, check long, body long")
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set, as bytes."""
+    bits = max(PARITY, 1 << (2 * len(hashes)).bit_length())
+    return np.packbits(np.bincount(hashes & np.uint64(bits - 1), minlength=bits).astype(np.uint8) & 1)
+
+
+def folded(bitmap: np.ndarray, size: int) -> np.ndarray:
+    """A parity bitmap with `size` bytes."""
+    while len(bitmap) > size:
+        bitmap = bitmap[: len(bitmap) // 2] ^ bitmap[len(bitmap) // 2 :]
+    return bitmap
+
+
+def shingled(df: DataFrame, text: str, id_col: str, words: int, similarity: float) -> DataFrame:
+    """(id, print, body, size, parity, brief, prefix) for every row; print: the hash of the shingle set, parity: its bitmap, brief: that folded to the least
+    size, prefix: its first shingles, rare ones before others."""
+    often = frequent_shingles(df, text, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 500):
+                some = batch.slice(start, 500)
+                prints, bodies, sizes, parities, briefs, prefixes = [], [], [], [], [], []
+                for x in some.column(1).cast(pa.binary()):
+                    body = x.as_buffer().to_pybytes() if x.is_valid else b""
+                    found = shingle_set(body, words)
+                    prints.append(xxhash.xxh64_intdigest(found.tobytes(), 42))
+                    bodies.append(xxhash.xxh64_intdigest(body, 42))
+                    sizes.append(len(found))
+                    bits = parity(found)
+                    parities.append(bits.tobytes())
+                    briefs.append(folded(bits, PARITY // 8).tobytes())
+                    if len(often):
+                        common = often[np.minimum(np.searchsorted(often, found), len(often) - 1)] == found
+                        found = np.concatenate([found[~common], found[common]])
+                    prefixes.append(found[: int(prefix_size(len(found), similarity))].view(np.int64))
+                offsets = pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(prefixes)))
+                held = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (prints, bodies)]
+                yield pa.RecordBatch.from_arrays([some.column(0), *held, pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), pa.array(briefs, pa.binary()), lists], names=["id", "print", "body", "size", "parity", "brief", "prefix"])
+
+    return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, "id long, print long, body long, size int, parity binary, brief binary, prefix array<long>")
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of rows sorted by their first column, in parts that end where a key does."""
+    held: list[dict[str, np.ndarray]] = []
+    for batch in batches:
+        part = {n: np.array(c.to_pylist(), object) if pa.types.is_binary(c.type) else c.to_numpy() for n, c in zip(batch.schema.names, batch.columns, strict=True)}
+        key = part[batch.schema.names[0]]
+        if not len(key):
+            continue
+        first = int(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[-1])  # the last key may go on in the next batch
+        if held and (first or held[-1][batch.schema.names[0]][-1] != key[0]):
+            held.append({n: v[:first] for n, v in part.items()})
+            yield {n: np.concatenate([h[n] for h in held]) for n in part}
+            held = []
+        elif first:
+            yield {n: v[:first] for n, v in part.items()}
+        held.append({n: v[first:] for n, v in part.items()})
+    if held:
+        yield {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of runs of one key."""
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return start, np.diff(np.append(start, len(key)))
+
+
+def _edges(us: list[np.ndarray], vs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, the larger end first."""
+    u, v = (np.concatenate([np.empty(0, np.int64), *x]) for x in (us, vs))
+    pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def meetings(reps: DataFrame, similarity: float) -> DataFrame:
+    """Of distinct sets (print, size, prefix): rows (u, v, null..) of candidates under shingles of few sets, and (u, null, token, size, pos) of the
+    members of each frequent one. Stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _by_key(batches):
+            token, own, n, pos = (part[c] for c in ("token", "print", "size", "pos"))
+            start, size = _groups(token)
+            few = np.repeat((size > 1) & (size <= BULK), size)
+            t, o, m, p = token[few], own[few], n[few].astype(np.int64), pos[few].astype(np.int64)
+            us, vs = [], []
+            for step in range(1, BULK):
+                same = np.flatnonzero(t[step:] == t[:-step])
+                if not len(same):
+                    break
+                same = same[_may(m[same], p[same], m[same + step], p[same + step], similarity)]
+                us.append(o[same])
+                vs.append(o[same + step])
+            u, v = _edges(us, vs)
+            many = np.repeat(size > BULK, size)
+            k = int(many.sum())
+            empty = lambda c, kind: pa.nulls(c, kind)
+            for at in range(0, len(u), 100_000):
+                some = slice(at, at + 100_000)
+                c = len(u[some])
+                yield pa.RecordBatch.from_arrays([pa.array(u[some]), pa.array(v[some]), empty(c, pa.int64()), empty(c, pa.int32()), empty(c, pa.int32())], names=["u", "v", "token", "size", "pos"])
+            if k:
+                yield pa.RecordBatch.from_arrays([pa.array(own[many]), empty(k, pa.int64()), pa.array(token[many]), pa.array(n[many]), pa.array(pos[many])], names=["u", "v", "token", "size", "pos"])
+
+    rows = reps.select("print", "size", F.posexplode("prefix").alias("pos", "token")).select("token", "print", "size", "pos")
+    found = rows.repartition("token").sortWithinPartitions("token").transform(mapped, run, "u long, v long, token long, size int, pos int")
+    return stored(found, "meetings")
+
+
+def crowded(members: DataFrame, sets: DataFrame, similarity: float, roots: DataFrame | None = None) -> DataFrame:
+    """Candidates (u, v) under frequent shingles; members: (u, token, size, pos), sets: (print, brief).
+
+    Without roots: each member with a hub that it may be similar to, if there is any. With roots (node, root): every pair in different
+    components that may be similar."""
+    whole = roots is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _by_key(batches):
+            us, vs = [], []
+            own, n, pos, root = part["u"], part["size"].astype(np.int64), part["pos"].astype(np.int64), part["root"]
+            bits = np.frombuffer(b"".join(part["brief"]), np.uint64).reshape(len(own), -1)
+            most = (1 - similarity) / (1 + similarity)
+
+            def may(i: int, js: np.ndarray) -> np.ndarray:
+                js = js[_may(n[i], pos[i], n[js], pos[js], similarity)]
+                return js[np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most * (n[i] + n[js]) + 1e-6]
+
+            for at, size in zip(*(x.tolist() for x in _groups(part["token"])), strict=True):
+                left = np.arange(at, at + size)
+                if not whole:
+                    while len(left) > 1:
+                        near = may(left[0], left[1:])
+                        us.append(np.full(len(near), own[left[0]]))
+                        vs.append(own[near])
+                        left = np.setdiff1d(left[1:], near, assume_unique=True)
+                    continue
+                # the members of the largest component need not be compared with each other
+                kinds, which, counts = np.unique(root[left], return_inverse=True, return_counts=True)
+                largest = int(counts.argmax())
+                if len(kinds) == 1:
+                    continue
+                rest, top = left[which != largest], left[which == largest]
+                for i, r in enumerate(rest.tolist()):
+                    others = np.concatenate([top, rest[i + 1 :]])
+                    near = may(r, others[root[others] != root[r]])
+                    us.append(np.full(len(near), own[r]))
+                    vs.append(own[near])
+            u, v = _edges(us, vs)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    rows = members.join(sets.select("print", "brief"), members["u"] == sets["print"])
+    rows = rows.join(roots, rows["u"] == roots["node"], "left").withColumn("root", F.coalesce("root", "u")) if whole else rows.withColumn("root", F.col("u"))
+    rows = rows.select("token", "u", "size", "pos", "brief", "root").repartition("token").sortWithinPartitions("token", "u")
+    return rows.transform(mapped, run, "u long, v long").distinct()
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """(print, shingles): the sorted 32-bit hashes of each text's distinct shingles, as bytes; texts: (print, text). Half of the 64 bits are
-    enough to count what two texts have in common (two of n shingles are confounded with odds of n * n in 2**33)."""
+    """(print, shingles): the sorted hashes of each text's distinct shingles, as bytes; texts: (print, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                some = batch.slice(at, 1000)
-                found = [np.unique(shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", words).astype("<u4")).tobytes() for x in some.column(1).cast(pa.binary())]
+            for at in range(0, len(batch), 500):
+                some = batch.slice(at, 500)
+                found = [shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", words).tobytes() for x in some.column(1).cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["print", "shingles"])
 
     return texts.select("print", "text").transform(mapped, run, "print long, shingles binary")
@@ -287,8 +455,8 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 HUB = 500
 
 
-def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The edges (u, v) whose texts' shingle sets (print, shingles) are similar enough.
+def verified(edges: DataFrame, sets: DataFrame, similarity: float, kind: str = "<u4") -> DataFrame:
+    """The edges (u, v) whose texts' shingle sets (print, shingles; numbers of that kind) are similar enough.
 
     An edge goes to its end with more edges, the hub, whose set is copied once for `HUB` of them and held while the sets of the other
     ends pass by; a set is sent once for each of its edges."""
@@ -306,13 +474,13 @@ def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     leaves = even_join(placed, sets.withColumnRenamed("print", "leaf"), "leaf", counts, F.col("hub"), "inner").select("hub", F.pmod(F.xxhash64("leaf"), F.col("parts")).cast("int").alias("part"), "leaf", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, own = None, np.empty(0, "<u4")
+        at, own = None, np.empty(0, kind)
         for batch in batches:
             us, vs = [], []
             for hub, part, leaf, shingles in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if leaf is None:
-                    at, own = (hub, part), np.frombuffer(shingles, "<u4")
-                elif (hub, part) == at and jaccard(own, np.frombuffer(shingles, "<u4")) >= similarity:
+                    at, own = (hub, part), np.frombuffer(shingles, kind)
+                elif (hub, part) == at and jaccard(own, np.frombuffer(shingles, kind)) >= similarity:
                     us.append(hub)
                     vs.append(leaf)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
@@ -322,21 +490,54 @@ def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
-def similar_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 5, similarity: float = 0.8, near_bits: int = 32) -> DataFrame:
-    """A row per row: id, print, body, component (the smallest id reachable by verified links) and root.
+def plausible(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The edges (u, v) whose sets (print, size, parity) don't differ in too many bits of their bitmaps. Edges are stored."""
+    known = edges
+    for end, other in (("u", "v"), ("v", "u")):
+        counts = edges.groupBy(end).agg(F.count(F.lit(1)).alias("n"))
+        known = even_join(known, sets.select(F.col("print").alias(end), F.col("size").alias(f"size_{end}"), F.col("parity").alias(f"parity_{end}")), end, counts, F.col(other), "inner")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = (1 - similarity) / (1 + similarity) * (batch.column(2).to_numpy() + batch.column(4).to_numpy().astype(np.int64)) + 1e-6
+            keep = np.zeros(len(batch), bool)
+            for k, (a, b) in enumerate(zip(batch.column(3), batch.column(5), strict=True)):
+                x, y = np.frombuffer(a.as_buffer(), np.uint8), np.frombuffer(b.as_buffer(), np.uint8)
+                size = min(len(x), len(y))
+                keep[k] = np.bitwise_count((folded(x, size) ^ folded(y, size)).view(np.uint64)).sum() <= most[k]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (0, 1)], names=["u", "v"])
 
-    Texts with one fingerprint (both halves of which are then all but sure to agree) are taken as one; the first by id stands for them."""
-    prints = stored(double_fingerprints(df, text, id_col, words), "prints")
+    return known.select("u", "v", "size_u", "parity_u", "size_v", "parity_v").transform(mapped, run, "u long, v long")
+
+
+def similar_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """A row per row: id, print, body, component (the smallest id reachable by links) and root.
+
+    Texts with one shingle set (which `print` is the hash of) are taken as one; the first by id stands for them."""
+    prints = stored(shingled(df, text, id_col, words, similarity), "prints")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "body")
-    least = stored(prints.groupBy("print").agg(F.min("id").alias("least"), F.min(F.struct(order.alias("o"), "check", "body")).alias("one"), F.count(F.lit(1)).alias("n")), "distinct")
-    least = least.select("print", "least", F.col("one.check").alias("check"), F.col("one.o.id").alias("one_id"), F.col("one.body").alias("one_body"), "n")
-    edges = stored(_links(least, ["print", "check"], near_bits, BULK), "candidates")
-    # the texts of candidates only: marked in a bitmap of fixed size, then looked up
-    ends = stored(edges.select(F.col("u").alias("print")).union(edges.select("v")).distinct().join(least, "print").select("print", F.col("one_id").alias("known_id"), F.col("one_body").alias("known_body")), "ends")
+    one = F.min(order).alias("one")
+    least = stored(prints.groupBy("print").agg(F.min("id").alias("least"), one, F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("size", "parity", "brief", "prefix")]), "distinct")
+    least = least.select("print", "least", F.col("one.id").alias("one_id"), F.col("one.body").alias("one_body"), "n", "size", "parity", "brief", "prefix")
+    met = meetings(least, similarity)
+    members = met.filter("v is null").drop("v")
+    hubs = stored(crowded(members, least, similarity), "hubs")
+    edges = stored(met.filter("v is not null").select("u", "v").union(hubs).distinct(), "candidates")
     keyed = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"))
-    may = marked(keyed, bitmap(ends.select(slot(F.col("known_id"), F.col("known_body")).alias("s"))), slot(F.col("id"), F.col("body"))).filter("may")
-    texts = may.join(ends, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("body") == F.col("known_body"))).groupBy("print").agg(F.first("text").alias("text"))
-    sure = verified(edges, stored(_sets(texts, words), "sets"), similarity)
+
+    def similar(edges: DataFrame) -> DataFrame:
+        # the texts of candidates only: marked in a bitmap of fixed size, then looked up
+        ends = stored(edges.select(F.col("u").alias("print")).union(edges.select("v")).distinct().join(least, "print").select("print", F.col("one_id").alias("known_id"), F.col("one_body").alias("known_body")), "ends")
+        may = marked(keyed, bitmap(ends.select(slot(F.col("known_id"), F.col("known_body")).alias("s"))), slot(F.col("id"), F.col("body"))).filter("may")
+        texts = may.join(ends, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("body") == F.col("known_body"))).groupBy("print").agg(F.first("text").alias("text"))
+        return verified(edges, stored(_sets(texts, words), "sets"), similarity, "<u8")
+
+    sure = stored(similar(stored(plausible(edges, least, similarity), "plausible")), "similar")
+    if not members.isEmpty():
+        # what frequent shingles have in different components, but for pairs that were verified
+        more = stored(crowded(members, least, similarity, connected_components(sure)).join(edges, ["u", "v"], "left_anti"), "candidates")
+        if not more.isEmpty():
+            sure = sure.union(stored(similar(stored(plausible(more, least, similarity), "plausible")), "similar"))
     return _named(prints, least, connected_components(sure))
 
 
