@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from waymark.llm import bytectx
+from waymark.llm import bytectx, contexttree, ctw
 from waymark.llm.ctw import _HALF, _WHOLE, DEPTH, _log_gamma, corpus_counts, fit, score_texts
 
 TEXTS = ["the cat sat on the mat", "the dog ate the cat", "", None, "Über\tdie Straße", "a a a b", "THE END of the line " * 4]
@@ -125,3 +125,47 @@ def test_empty(spark):
     r = score_texts(frame, frame.limit(0)).first()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (2, 0, 0, 0.0)
     assert r["score"] == pytest.approx(-3 * math.log10(256), rel=1e-4)
+
+
+@pytest.mark.parametrize(("flush", "size"), [(1_500_000, 1 << 23), (20, 16)])
+def test_scores_of_the_whole_tree(spark, monkeypatch, flush, size):
+    monkeypatch.setattr(contexttree, "FLUSH_CODES", flush)
+    monkeypatch.setattr(ctw, "PART_BYTES", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        asked = ["the cat ate", "", None, "\u00ffqq\0zz", "straße", "The end of the line", "the cat ate"]
+        frame = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+        train = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+        found = {r["id"]: r["score"] for r in score_texts(frame, train).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    lowered = [(t or "").encode().lower() for t in TEXTS]
+    seen = {padded(t)[i - k : i] for t in lowered for i in range(DEPTH, len(padded(t))) for k in range(1, DEPTH + 1)}
+    brute = Brute(lowered, seen.__contains__)
+    assert [found[i] for i in range(len(asked))] == pytest.approx([brute.score((t or "").encode().lower()) for t in asked], rel=1e-5)
+
+
+def test_no_bound_on_contexts(spark):
+    rng = np.random.default_rng(5)
+    text = "".join(map(chr, rng.integers(97, 123, 64_000) - rng.integers(0, 60, 64_000)))
+    texts = [text[i : i + 1000] for i in range(0, len(text), 1000)]
+    lowered = [t.encode().lower() for t in texts]
+    contexts = {padded(t)[i - k : i] for t in lowered for i in range(DEPTH, len(padded(t))) for k in range(2, DEPTH + 1)}
+    assert len(contexts) > 131_072
+    train = spark.createDataFrame([(t,) for t in texts * 4], "text string")
+    asked = [*texts[:3], text[500:1500], "some other text"]
+    counts = corpus_counts(train)
+    expected, bounded = (fit(counts, max_contexts=n).score([t.encode().lower() for t in asked]) for n in (10**9, 131_072))
+    assert expected[0] > 0.9 * bounded[0]
+    found = {r["id"]: r["score"] for r in score_texts(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), train).collect()}
+    assert [found[i] for i in range(len(asked))] == pytest.approx(expected.tolist(), rel=1e-5)
+
+
+def test_all_bytes(spark):
+    rng = np.random.default_rng(6)
+    train = spark.createDataFrame([(bytearray(range(256)),), (bytearray(rng.integers(0, 256, 2000).astype(np.uint8)),)], "text binary")
+    asked = [bytes(range(20, 60)), bytes(rng.integers(0, 256, 50).astype(np.uint8))]
+    frame = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(asked)], "doc_id long, text binary")
+    found = {r["id"]: r["score"] for r in score_texts(frame, train).collect()}
+    expected = fit(corpus_counts(train), max_contexts=10**9).score([t.lower() for t in asked])
+    assert [found[i] for i in range(2)] == pytest.approx(expected.tolist(), rel=1e-5)

@@ -10,10 +10,9 @@ weighted probabilities, or KT where the tree ends. With statistics frozen after
 
 which mixes the estimates of all depths. A text's score is the exact sum over all its bytes and an end byte (zero).
 
-All training texts are counted, whole. Every task reduces its texts to distinct (bytes before, byte) counts, which one
-aggregation adds up for each depth. The most frequent contexts are nodes of their own (at most `max_contexts`; a node's shorter
-contexts are no rarer, so they are nodes too); the other longer contexts of a node share one. So the model that is broadcast
-is bounded: at most 1 KiB a node for probabilities and 1 KiB for the way to longer contexts.
+All training texts are counted, whole, and every context that occurs in them is a node: no number bounds the tree, and no machine holds
+it. `contexttree` computes it in parts and hands each chunk of texts the probabilities of the bytes and contexts it has. (`Tree` is the same model
+in one process, for few texts, with a bound on its contexts; scoring doesn't use it.)
 
 The base score is a unigram model of words with additive smoothing. Frequent words (`hot_words`, a bound of the
 broadcast) are looked up in the scoring pass; all other words are joined with the full word counts, so none is left out.
@@ -25,7 +24,6 @@ every byte has equal shares. Very long texts go through in blocks. Only the name
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -33,33 +31,14 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.bytectx import grams, merged, totals
-from waymark.llm.common import documents, mapped, stored
+from waymark.llm.common import discard, documents, mapped, stored
+from waymark.llm.contexttree import _HALF, _WHOLE, DEPTH, END, FLUSH_CODES, FLUSH_WORDS, PART_BYTES, WORD, _log_gamma, by_chunk, chunk_rows, gathered, kt  # noqa: F401
 from waymark.llm.langid import remainder
 
-END = b"\0"
-DEPTH = 5
-#: A task hands over its counts when it holds so many words, or codes.
-FLUSH_WORDS, FLUSH_CODES = 300_000, 1_500_000
-#: Logarithms of the gamma function at n + 1/2 and n + 1 for small n.
-_HALF = np.array([math.lgamma(n + 0.5) for n in range(8192)])
-_WHOLE = np.array([math.lgamma(n + 1.0) for n in range(8192)])
-
-
-def _log_gamma(table: np.ndarray, plus: float, n: np.ndarray) -> np.ndarray:
-    """Log of gamma(n + plus) for counts n: the table, or Stirling's series beyond it."""
-    out = table[np.minimum(n, len(table) - 1)]
-    rows = np.nonzero(n >= len(table))
-    if len(rows[0]):
-        y = n[rows] + plus
-        z = 1 / (y * y)
-        out[rows] = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + (1 / 12 - z * (1 / 360 - z / 1260)) / y
-    return out
-
 
 def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(zeros, ones) at the nodes of the symbols' leading bits, for rows of counts by symbol; node 2**k - 1 + i: k leading bits that make i."""
@@ -73,9 +52,7 @@ def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _kt(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(log KT probability, estimate of a one) at the nodes."""
-    a, b = bit_counts(counts)
-    log = _log_gamma(_HALF, 0.5, a) + _log_gamma(_HALF, 0.5, b) - _log_gamma(_WHOLE, 1.0, a + b) - 1.1447298858494002
-    return log, (b + 0.5) / (a + b + 1)
+    return kt(*bit_counts(counts))
 
 
 def _symbol_costs(one: np.ndarray) -> np.ndarray:
@@ -89,7 +66,7 @@ def _symbol_costs(one: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """The frozen model: nodes of contexts, and log10 probabilities by node and symbol.
+    """The frozen model in one process: nodes of contexts, and log10 probabilities by node and symbol.
 
     A node's row holds for positions whose context ends at it: for a node without longer ones its own mixture, else that of
     the rest, the longer contexts that are no nodes."""
@@ -225,7 +202,7 @@ def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fit(parts: DataFrame, max_contexts: int = 131072) -> Tree:
-    """The tree of the counts of `corpus_counts`."""
+    """The tree of the counts of `corpus_counts`, of the most frequent contexts, in the driver's memory (1 to 2 KiB each)."""
     whole = stored(parts.filter("code is not null").groupBy("code").agg(F.sum("n").alias("n")), "grams")
     by_depth = [whole.groupBy(F.lit(d).alias("d"), F.col("code").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n")) for d in range(DEPTH + 1)]
     grams_ = stored(reduce(DataFrame.unionByName, by_depth), "depths")
@@ -254,21 +231,25 @@ def frequent(words: DataFrame, most: int) -> DataFrame:
     return words.filter(size >= least) if least is not None else words.limit(0)
 
 
-def score_texts(df: DataFrame, train: DataFrame, text: str = "text", id_col: str = "doc_id", max_contexts: int = 131072, hot_words: int = 1 << 17) -> DataFrame:
+def score_texts(df: DataFrame, train: DataFrame, text: str = "text", id_col: str = "doc_id", hot_words: int = 1 << 17) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for every row of `df`, learnt from the texts of `train`."""
-    spark = df.sparkSession
-    parts = corpus_counts(train, text)
-    tree = fit(parts, max_contexts)
-    words = stored(parts.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
+    asked = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text", "false learn", "true scored")
+    return _scored(asked.unionByName(train.selectExpr("cast(null as long) id", f"`{text}` text", "true learn", "false scored")), hot_words)
+
+
+def _scored(rows: DataFrame, hot_words: int = 1 << 17) -> DataFrame:
+    """The columns of `score_texts` for rows (id, text, learn, scored) with `scored`, learnt from those with `learn`; a row may be both."""
+    spark = rows.sparkSession
+    parts = 8 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES
+    chunks = gathered(rows, parts)
+    words = stored(chunks.filter(F.col("kind") == WORD).groupBy("word").agg(F.sum("count").alias("c")), "words")
     size = words.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     hot = frequent(words, hot_words).toArrow()
-    sent = spark.sparkContext.broadcast((tree, dict(zip(hot["word"].to_pylist(), np.log10(hot["c"].to_numpy() + 1.0).tolist(), strict=True))))
+    sent = spark.sparkContext.broadcast(dict(zip(hot["word"].to_pylist(), np.log10(hot["c"].to_numpy() + 1.0).tolist(), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = sent.value
-        get, row = known.get, TaskContext.get().partitionId() << 33
-        for batch in batches:
-            texts = [x.as_buffer().to_pybytes().lower() if x.is_valid else b"" for x in batch.column(1).cast(pa.binary())]
+        get = sent.value.get
+        for rows_, ids, texts, scores in by_chunk(batches):
             n, found, logs, rest_words, rest_counts = [], [], [], [], []
             for t in texts:
                 tokens = t.split() + [b""]
@@ -280,15 +261,15 @@ def score_texts(df: DataFrame, train: DataFrame, text: str = "text", id_col: str
                 logs.append(float(np.nansum(values)))
                 rest_words.append(list(rest))
                 rest_counts.append(list(rest.values()))
-            scores = model.score(texts)
-            rows = pa.array(np.arange(row, row + len(texts)))
-            row += len(texts)
             bits = scores / np.array([len(t) + 1 for t in texts]) * -np.log2(10)
-            columns = [batch.column(0), rows, pa.array(n, pa.int64()), pa.array(found, pa.int64()), pa.array(logs, pa.float64()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64()), pa.array(rest_words, pa.list_(pa.binary())), pa.array(rest_counts, pa.list_(pa.int64()))]
+            columns = [ids, rows_, pa.array(n, pa.int64()), pa.array(found, pa.int64()), pa.array(logs, pa.float64()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64()), pa.array(rest_words, pa.list_(pa.binary())), pa.array(rest_counts, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "n_tokens", "hot", "logs", "score", "bits_per_byte", "rest", "counts"])
 
     schema = "id long, row long, n_tokens long, hot long, logs double, score double, bits_per_byte double, rest array<binary>, counts array<long>"
-    scored = stored(df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text}` text").transform(mapped, run, schema), "scored")
+    dealt, tables = chunk_rows(chunks, parts)
+    scored = stored(dealt.transform(mapped, run, schema), "scored")
+    for table in (chunks, *tables):
+        discard(table)
     pairs = scored.select("row", F.explode(F.arrays_zip("rest", "counts")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.counts").alias("k"))
     rare = pairs.join(words, "word").groupBy("row").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("c") + 1.0)).alias("sum"))
     unit = F.log10(F.lit(float(size["n"] + size["v"] + 1)))
@@ -310,5 +291,6 @@ def _held_out(id_col: Column) -> Column:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: code lengths of all documents, learnt from those whose crc32(doc_id) mod 7 is not 2."""
     docs = documents(spark, sf_dir)
-    found = score_texts(docs, docs.filter(remainder(F.col("doc_id"), 7) != 2))
+    learn = F.coalesce(remainder(F.col("doc_id"), 7) != 2, F.lit(False))
+    found = _scored(docs.select(F.col("doc_id").cast("long").alias("id"), "text", learn.alias("learn"), F.lit(True).alias("scored")))
     return found.select(F.col("id").alias("doc_id"), _held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
