@@ -94,3 +94,17 @@ def test_empty_table(spark):
         assert made.count() == 0
         docs = made if name != "packing" else docs
     assert langid.train(docs).languages == []
+
+
+def test_stages_begin_with_memory_given_back(spark):
+    """Each stage has executors (here the session's own process) collect their garbage: heaps full of what is dead once took a session past its limit."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+
+    def full():
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        before = full()
+        stage(spark, docs, PATH)
+        assert full() > before, name

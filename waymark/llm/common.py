@@ -84,6 +84,14 @@ def release() -> None:
         libc.malloc_trim(0)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Lets executors collect their garbage. A heap grows towards its limit with what is dead already and keeps that size, beside the Python
+    workers; a full collection shrinks it and frees direct buffers. A task a core, so that every executor gets some; one that
+    gets none keeps its memory, and no result depends on it. For the end of a step of a long job, not for small ones."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.expr("reflect('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 #: Bytes of a batch of rows for Python. By default a batch has 10 000 rows and up to 64 MB, which with long texts is held several times over.
 BATCH = "4m"
 

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import bitmap, columns_of, documents, even_join, mapped, marked, slot, stored
+from waymark.llm.common import bitmap, columns_of, documents, even_join, give_back, mapped, marked, slot, stored
 from waymark.llm.components import connected_components
 
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -515,11 +515,14 @@ def similar_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     Texts with one shingle set (which `print` is the hash of) are taken as one; the first by id stands for them."""
     prints = stored(shingled(df, text, id_col, words, similarity), "prints")
+    give_back(df.sparkSession)
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "body")
     one = F.min(order).alias("one")
     least = stored(prints.groupBy("print").agg(F.min("id").alias("least"), one, F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("size", "parity", "brief", "prefix")]), "distinct")
     least = least.select("print", "least", F.col("one.id").alias("one_id"), F.col("one.body").alias("one_body"), "n", "size", "parity", "brief", "prefix")
+    give_back(df.sparkSession)
     met = meetings(least, similarity)
+    give_back(df.sparkSession)
     members = met.filter("v is null").drop("v")
     hubs = stored(crowded(members, least, similarity), "hubs")
     edges = stored(met.filter("v is not null").select("u", "v").union(hubs).distinct(), "candidates")
@@ -530,14 +533,20 @@ def similar_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id",
         ends = stored(edges.select(F.col("u").alias("print")).union(edges.select("v")).distinct().join(least, "print").select("print", F.col("one_id").alias("known_id"), F.col("one_body").alias("known_body")), "ends")
         may = marked(keyed, bitmap(ends.select(slot(F.col("known_id"), F.col("known_body")).alias("s"))), slot(F.col("id"), F.col("body"))).filter("may")
         texts = may.join(ends, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("body") == F.col("known_body"))).groupBy("print").agg(F.first("text").alias("text"))
-        return verified(edges, stored(_sets(texts, words), "sets"), similarity, "<u8")
+        sets = stored(_sets(texts, words), "sets")
+        give_back(df.sparkSession)
+        return verified(edges, sets, similarity, "<u8")
 
+    give_back(df.sparkSession)
     sure = stored(similar(stored(plausible(edges, least, similarity), "plausible")), "similar")
+    give_back(df.sparkSession)
     if not members.isEmpty():
         # what frequent shingles have in different components, but for pairs that were verified
         more = stored(crowded(members, least, similarity, connected_components(sure)).join(edges, ["u", "v"], "left_anti"), "candidates")
         if not more.isEmpty():
+            give_back(df.sparkSession)
             sure = sure.union(stored(similar(stored(plausible(more, least, similarity), "plausible")), "similar"))
+            give_back(df.sparkSession)
     return _named(prints, least, connected_components(sure))
 
 
